@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patraloom.llm import canonical, cutoff, encoding, mixing, sampling, splitting
+from patraloom.llm import canonical, cutoff, encoding, mixing, sampling, splitting, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,25 @@ def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     return cutoff.keep_fraction(_table(spark, folder, "release"), _table(spark, folder, "keep_targets"))[1]
 
 
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.record_scores(_table(spark, folder, "pairs"), _table(spark, folder, "release"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with an abusive, hateful or sexual English text."""
+    return _toxicity(spark, folder).where("toxic").select("example_id")
+
+
+def p5_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The score of every record."""
+    return _toxicity(spark, folder)
+
+
+def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The rate of such records per source."""
+    return toxicity.rates(_toxicity(spark, folder))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The token ids of every document."""
     return encoding.token_ids(_table(spark, folder, "documents"))
@@ -93,4 +112,4 @@ def p8_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_report, p2_sample, p4_found, p4_report, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
+    return {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_report, p2_sample, p4_found, p4_report, p5_found, p5_scores, p5_rates, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
