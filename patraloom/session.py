@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,21 @@ def local_session(app: str = "patraloom", cpus: int | None = None, **conf: str)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    it need not be installed on the executors."""
+    context = spark.sparkContext
+    if getattr(context, "_patraloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    held = Path(tempfile.mkdtemp(prefix="patraloom-")) / "patraloom.zip"
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(held))
+    context._patraloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables.
 
