@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patraloom.llm import canonical, cutoff, encoding, mixing, sampling, splitting, toxicity
+from patraloom.llm import canonical, cutoff, encoding, mixing, neardup, sampling, splitting, toxicity
+from patraloom.session import cut
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,6 +45,20 @@ def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.target_sample(_table(spark, folder, "release"), _table(spark, folder, "sample_targets"))[0]
 
 
+def _groups(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.similar_groups(_table(spark, folder, "pairs"), "example_id", ["text_ory", "text_eng"])
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of records in the same group of near-duplicates, per field."""
+    return neardup.pairs_in_groups(cut(_groups(spark, folder)), "example_id")
+
+
+def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of every record, per field."""
+    return _groups(spark, folder)
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """The records kept by their source's cutoff."""
     return cutoff.keep_fraction(_table(spark, folder, "release"), _table(spark, folder, "keep_targets"))[0]
@@ -112,4 +127,4 @@ def p8_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_report, p2_sample, p4_found, p4_report, p5_found, p5_scores, p5_rates, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
+    return {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_report, p5_found, p5_scores, p5_rates, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
