@@ -27,7 +27,7 @@ def coverage(wanted: DataFrame, found: DataFrame, key: str = "example_id") -> Da
     w = wanted.where(F.col(key).isNotNull()).select(key).distinct().withColumn("w", F.lit(1))
     f = found.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("times"))
     return w.join(f, key, "full").agg(
-        F.count("w").alias("wanted"), F.count("times").alias("found"), F.count_if("times is null").alias("missing"), F.count_if("w is null").alias("unexpected"), F.count_if("times > 1").alias("repeated"),
+        F.count("w").alias("wanted"), F.count("times").alias("found"), F.count_if(F.expr("times is null")).alias("missing"), F.count_if(F.expr("w is null")).alias("unexpected"), F.count_if(F.expr("times > 1")).alias("repeated"),
     )
 
 

@@ -123,7 +123,7 @@ def map_back(df: DataFrame, key: str, text: str, groups: DataFrame, roots: DataF
 def cluster_stats(groups: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """One row: texts, clusters, clusters of several texts, and pairs."""
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.count(F.lit(1)).alias("n_texts")).crossJoin(sizes.agg(F.count(F.lit(1)).alias("n_clusters"), F.count_if("n > 1").alias("multi_text_clusters"))).crossJoin(edges.agg(F.count(F.lit(1)).alias("pairs")))
+    return groups.agg(F.count(F.lit(1)).alias("n_texts")).crossJoin(sizes.agg(F.count(F.lit(1)).alias("n_clusters"), F.count_if(F.expr("n > 1")).alias("multi_text_clusters"))).crossJoin(edges.agg(F.count(F.lit(1)).alias("pairs")))
 
 
 def size_bucket(n):
@@ -139,7 +139,7 @@ def spanning(df: DataFrame, group: str, label: str, source: str) -> DataFrame:
     """One row: clusters with more than one (label, source) cell, and with more than one label."""
     cells = df.groupBy(group, label, source).agg(F.count(F.lit(1)).alias("n"))
     per = cells.groupBy(group).agg(F.count(F.lit(1)).alias("cells"), F.count_distinct(label).alias("labels"))
-    return per.agg(F.count_if("cells > 1").alias("cell_spanning"), F.count_if("labels > 1").alias("label_conflicts"))
+    return per.agg(F.count_if(F.expr("cells > 1")).alias("cell_spanning"), F.count_if(F.expr("labels > 1")).alias("label_conflicts"))
 
 
 def sweep(sigs: DataFrame, key: str, thresholds: tuple[float, ...] = SWEEP, slots: int = SLOTS) -> DataFrame:
