@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patraloom.functions.minhash import STEP, mixed, run_hashes, signatures
 from patraloom.llm.canonical import connection, duckdb_query
+from patraloom.operators.graph import components
 from patraloom.session import cut, stage
 
 #: Characters of a run, least similarity, MinHash values of a band, and bands.
@@ -37,6 +39,8 @@ RUN, SIMILAR, ROWS, BANDS = 5, 0.70, 5, 40
 SMALL = 256
 #: Pivots of a larger region, about; texts of a block where pivots don't part a region.
 PIVOTS, BLOCK = 16, 4096
+#: Entries of a bucket that are in memory at once, about; a larger one is gone through by ranges of keys.
+AT_ONCE = 2_000_000
 #: One bit each of this many MinHash values makes the sketch; pairs with fewer
 #: equal bits are not compared (at the threshold 109 are expected; 88 is five
 #: standard deviations below).
@@ -44,53 +48,6 @@ SKETCH, SKETCH_LEAST = 128, 88
 
 STAGED = "kind byte, bucket int, a long, b long, field string, id string, s1 long, s2 long, text string, blob binary"
 _BANDED, _NODE, _EDGE, _HOT = 0, 1, 2, 3
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_STEP = np.uint64(0x100000001B3)
-
-
-def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(42)
-    return (rng.integers(0, 2**31, n, np.uint32) * np.uint32(2) + np.uint32(1)), rng.integers(0, 2**32, n, np.uint32)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * _MIX
-    return h ^ (h >> np.uint64(29))
-
-
-def run_hashes(texts: Sequence[str], k: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all runs of ``k`` characters of the texts one after the
-    other, and how many each text has (none below ``k`` characters)."""
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    h = np.zeros(max(len(codes) - k + 1, 0), np.uint64)
-    for i in range(k):
-        h *= _STEP
-        h += codes[i : i + len(h)]
-    n = np.maximum(sizes - k + 1, 0)
-    ends = np.cumsum(sizes)
-    inside = np.ones(len(codes), bool)
-    for i in range(k - 1):  # runs that would reach into the next text
-        at = ends - 1 - i
-        inside[at[(sizes > i) & (at >= 0)]] = False
-    return _mixed(h[inside[: len(h)]]), n
-
-
-def signatures(hashes: np.ndarray, n: np.ndarray, values: int) -> np.ndarray:
-    """MinHash values (texts x values, 32 bits) of texts with at least one run."""
-    times, plus = _permutations(values)
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    starts = np.cumsum(n) - n
-    out = np.empty((values, len(n)), np.uint32)
-    at = 0
-    while at < len(n):  # pieces that stay in the processor's cache
-        end = max(at + 1, int(np.searchsorted(starts, starts[at] + 32768)))
-        piece = short[starts[at] : starts[end - 1] + n[end - 1]]
-        first = starts[at:end] - starts[at]
-        for v in range(values):
-            out[v, at:end] = np.minimum.reduceat((piece ^ plus[v]) * times[v], first)
-        at = end
-    return out
 
 
 def _sketches(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +99,7 @@ def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int):
                 texts = known[field].to_pylist()
                 seed = xxhash.xxh3_64_intdigest(field)
                 node = np.array([xxhash.xxh3_64_intdigest(t, seed) for t in texts], np.uint64).view(np.int64)
-                hashes, n = run_hashes(texts)
+                hashes, n = run_hashes(texts, RUN)
                 long = np.flatnonzero(n)
                 s1, s2 = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
                 if len(long):
@@ -151,7 +108,7 @@ def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int):
                     for band in range(bands):
                         key = np.full(len(long), which * bands + band + 1, np.uint64)
                         for r in range(rows):
-                            key = _mixed(key * _STEP ^ sig[band * rows + r])
+                            key = mixed(key * STEP ^ sig[band * rows + r])
                         keys.append(key)
                         nodes.append(node[long])
                 yield _rows(_NODE, len(texts), bucket=((node.view(np.uint64) >> np.uint64(8)) % np.uint64(buckets)).astype(np.int32), a=node, field=pa.array([field] * len(texts)), id=known["the id"].combine_chunks(), s1=s1, s2=s2, text=known[field].combine_chunks())
@@ -162,7 +119,7 @@ def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int):
                 ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 low = key.astype(np.uint32)
                 blobs = [_packed(low[order[i:j]], node[order[i:j]]) for i, j in zip(ends, ends[1:])]
-                yield _rows(_BANDED, buckets, bucket=np.arange(buckets, dtype=np.int32), blob=blobs)
+                yield _rows(_BANDED, buckets, bucket=np.arange(buckets, dtype=np.int32), a=np.diff(ends), blob=blobs)
 
     return run
 
@@ -196,22 +153,32 @@ def _meet(small: int):
     """Per partition of buckets: node rows once per id, pairs, and large runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[int, list[bytes]] = {}
+        entries: dict[int, int] = {}
         for batch in batches:
             kind = batch.column("kind").to_numpy(zero_copy_only=False)
             node = batch.filter(pa.array(kind == _NODE))
             if node.num_rows:
                 yield node
             banded = batch.filter(pa.array(kind == _BANDED))
-            for bucket, blob in zip(banded.column("bucket").to_pylist(), banded.column("blob").to_pylist(), strict=True):
-                held.setdefault(bucket, []).append(_unpacked(blob))
-        for bucket in list(held):
-            each = held.pop(bucket)
-            a, b, hk, hn = _pairs_of_runs(np.concatenate([k for k, _ in each]), np.concatenate([n for _, n in each]), small)
-            if len(a):
-                yield _rows(_EDGE, len(a), a=a, b=b)
-            if len(hk):
-                yield _rows(_HOT, len(hk), bucket=np.full(len(hk), bucket, np.int32), a=hk.astype(np.int64) | (np.int64(bucket) << np.int64(32)), b=hn)
+            for bucket, n, blob in zip(*(banded.column(c).to_pylist() for c in ("bucket", "a", "blob")), strict=True):
+                held.setdefault(bucket, []).append(blob)
+                entries[bucket] = entries.get(bucket, 0) + n
+        for bucket, blobs in held.items():
+            parts = 1 + entries[bucket] // AT_ONCE
+            bounds = np.linspace(0, 2**32, parts + 1).astype(np.uint64)
+            for low, high in zip(bounds, bounds[1:]):
+                keys, nodes = [], []
+                for blob in blobs:
+                    k, n = _unpacked(blob)
+                    i, j = np.searchsorted(k, [low, high])
+                    keys.append(k[i:j])
+                    nodes.append(n[i:j])
+                a, b, hk, hn = _pairs_of_runs(np.concatenate(keys), np.concatenate(nodes), small)
+                if len(a):
+                    yield _rows(_EDGE, len(a), a=a, b=b)
+                if len(hk):
+                    yield _rows(_HOT, len(hk), a=hk.astype(np.int64) | (np.int64(bucket) << np.int64(32)), b=hn)
 
     return run
 
@@ -254,25 +221,20 @@ def verified(pairs: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int
 
 
 def _regions(least: float, k: int):
-    """Per (region, text) row with the region's pivots: links to pivots in
-    reach, and the Voronoi regions the text belongs to, its own and those whose
-    window it lies in."""
+    """Per part of a region, with all the region's pivots: distances to the
+    pivots in reach, and the Voronoi regions a text belongs to, its own and those
+    whose window it lies in."""
     reach = 1 - least
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[int, set[str]] = {}
-        for batch in batches:
-            key, node, pivot, d, home = [], [], [], [], []
-            for q, n, t, pivots in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "text", "pivots")), strict=True):
+    def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
+        key, node, pivot, d, home = [], [], [], [], []
+        sets = [(p, _set(t, k)) for p, t in zip(pivots["pivot"].to_pylist(), pivots["pivot_text"].to_pylist(), strict=True)]
+        if sets:
+            for q, n, t in zip(*(members[c].to_pylist() for c in ("key", "node", "text")), strict=True):
                 own, far = _set(t, k), []
-                if len(sets) > 4096:
-                    sets.clear()
-                for p in pivots:
-                    other = sets.get(p["node"])
-                    if other is None:
-                        other = sets[p["node"]] = _set(p["text"], k)
+                for p, other in sets:
                     both = len(own & other)
-                    far.append((1 - both / (len(own) + len(other) - both), p["node"]))
+                    far.append((1 - both / (len(own) + len(other) - both), p))
                 nearest = min(far)
                 for x, p in far:
                     if x <= nearest[0] + 2 * reach + 1e-9:
@@ -281,7 +243,7 @@ def _regions(least: float, k: int):
                         pivot.append(p)
                         d.append(x)
                         home.append(p == nearest[1])
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64()), pa.array(pivot, pa.int64()), pa.array(d, pa.float64()), pa.array(home, pa.bool_())], ["key", "node", "pivot", "d", "home"])
+        return pa.table({"key": pa.array(key, pa.int64()), "node": pa.array(node, pa.int64()), "pivot": pa.array(pivot, pa.int64()), "d": pa.array(d, pa.float64()), "home": pa.array(home, pa.bool_())})
 
     return run
 
@@ -306,7 +268,9 @@ def _blocks(least_bits: int):
     return run
 
 
-def metric_join(hot: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int = RUN, small: int = SMALL, pivots: int = PIVOTS, block: int = BLOCK) -> tuple[DataFrame | None, DataFrame | None]:
+def metric_join(
+    hot: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int = RUN, small: int = SMALL, pivots: int = PIVOTS, block: int = BLOCK
+) -> tuple[DataFrame | None, DataFrame | None]:
     """(pairs to verify, exact links) of large regions ``hot`` (``key``, ``node``).
 
     All pairs that are similar come out, but for those inside one ball (of
@@ -332,10 +296,15 @@ def metric_join(hot: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int
             break
         # About as many pivots as wanted, by a hash below a bound: no region is sorted.
         chance = F.expr(f"(xxhash64(key, node) & {2**53 - 1}L) / {float(2**53)}")
-        picked = big.where(chance < F.lit(2.0 * pivots) / F.col("n")).select("key", "node").join(nodes.select("node", "text"), "node")
-        picked = picked.groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct("node", "text"))), 1, 4 * pivots).alias("pivots"))
-        unpicked = big.join(picked, "key", "left_anti")
-        held = cut(big.join(nodes.select("node", "text"), "node").join(picked, "key").select("key", "node", "text", "pivots").mapInArrow(_regions(least, k), "key long, node long, pivot long, d double, home boolean"))
+        picked = cut(big.where(chance < F.lit(2.0 * pivots) / F.col("n")).select("key", "node", "n"))
+        unpicked = big.join(picked.select("key").distinct(), "key", "left_anti")
+        # Parts of a region of bounded size, each with all pivots of the region.
+        parts = F.expr(f"cast(ceil(n / {block}) as int)")
+        texts = nodes.select("node", "text")
+        members = big.join(picked.select("key").distinct(), "key", "left_semi").withColumn("part", F.pmod(F.xxhash64("node"), parts)).join(texts, "node").select("key", "part", "node", "text")
+        each = picked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))).join(texts, "node")
+        each = each.select(F.col("key").alias("of"), F.col("part").alias("in_part"), F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+        held = cut(members.groupBy("key", "part").cogroup(each.groupBy("of", "in_part")).applyInArrow(_regions(least, k), "key long, node long, pivot long, d double, home boolean"))
         links.append(held.where((F.col("d") <= reach + 1e-9) & (F.col("node") != F.col("pivot"))).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")))
         # Of a ball, only what may be near a text outside it stays.
         outside = held.where(f"d > {reach}").groupBy("key", "pivot").agg(F.min("d").alias("outer"))
@@ -346,26 +315,6 @@ def metric_join(hot: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int
     return union(todo), union(links)
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """``node``, ``root`` of each node of the edges (``a``, ``b``): the smallest
-    node of its connected component. Large-star and small-star rounds; each is
-    written to the shared folder, and nothing but a count reaches the driver."""
-    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    for _ in range(most):
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
-        small = cut(small)
-        if small.count() == now.count() and small.exceptAll(now).isEmpty():
-            break
-        now = small
-    else:
-        raise RuntimeError("the components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v")).distinct()
-
-
 def similar_groups(
     df: DataFrame, id_column: str, fields: Sequence[str], least: float = SIMILAR, k: int = RUN, rows: int = ROWS, bands: int = BANDS, small: int = SMALL, buckets: int | None = None
 ) -> DataFrame:
