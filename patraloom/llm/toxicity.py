@@ -8,8 +8,8 @@ highest window. The threshold is calibrated on held-out windows.
 The scores at hand belong to whole records and are partly wrong, so training
 windows are first cleaned: for each word pair and triple the share of
 high-scored records that hold it is counted, and a window is toxic or ordinary
-by the mean log-odds of its own. Windows the first dictionaries get wrong are
-then repeated in the training of the final ones. The training sample is bounded
+by the mean log-odds of its own. The content of the trained dictionaries is then
+extended by whole windows, those they get wrong last. The training sample is bounded
 (``SAMPLE`` records with the smallest hashes); scoring covers every record.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from patraloom.llm.canonical import connection, duckdb_query
 
 #: Training records at most, bytes of a dictionary, and zstandard's level.
-SAMPLE, DICTIONARY, LEVEL = 12_000, 112_640, 3
+SAMPLE, DICTIONARY, LEVEL = 24_000, 65_536, 3
 #: Scores from which a training record counts as toxic, and up to which as ordinary.
 HIGH, LOW = 0.90, 0.05
 #: Mean log-odds from which a training window is toxic, and below which ordinary.
@@ -141,38 +141,58 @@ def _dictionary(samples: list[str], size: int) -> bytes:
         return b" ".join(raw)[-size:] or b" " * 8
 
 
-def _best_threshold(scores: list[float], truth: list[bool]) -> float:
-    """The cutoff with the best F1, halfway to the next score."""
-    order = sorted(zip(scores, truth, strict=True), key=lambda x: -x[0])
-    hits, wanted, best, at = 0, sum(truth), -1.0, math.inf
-    for k, (s, y) in enumerate(order, 1):
-        hits += y
+def _best_threshold(scores: list[float], truth: list[bool], weights: list[int]) -> float:
+    """The cutoff with the best weighted F1, halfway to the next score."""
+    order = sorted(zip(scores, truth, weights, strict=True), key=lambda x: -x[0])
+    hits = taken = 0
+    wanted, best, at = sum(w for _, y, w in order if y), -1.0, math.inf
+    for k, (s, y, w) in enumerate(order, 1):
+        hits += w * y
+        taken += w
         below = order[k][0] if k < len(order) else s
         if below < s or k == len(order):
-            f1 = 2 * hits / (k + wanted) if wanted else 0.0
+            f1 = 2 * hits / (taken + wanted) if wanted else 0.0
             if f1 > best:
                 best, at = f1, (s + below) / 2
     return at
 
 
+def _dictionaries(train: list[tuple[str, bool]], often: dict[str, int], size: int, level: int) -> Model:
+    """A model without a threshold."""
+    sets = {y: [w for w, k in train if k == y] for y in (True, False)}
+    # A frequent window is a frequent sample.
+    trained = {y: _dictionary([w for w in v for _ in range(min(COPIES, often[w]))], size) for y, v in sets.items()}
+    # Training keeps what recurs within the samples; the room it leaves is filled with whole windows.
+    filled = {y: trained[y] + " ".join(sets[y]).encode()[: max(0, size - len(trained[y]))] for y in sets}
+    model, wrong = Model(filled[True], filled[False], 0.0, level), {True: {}, False: {}}
+    for _ in range(2):
+        scores = [model.score(w) for w, _ in train]
+        cut = _best_threshold(scores, [y for _, y in train], [often[w] for w, _ in train])
+        for (w, y), s in zip(train, scores, strict=True):
+            if (s >= cut) != y:
+                wrong[y][w] = None
+        # What was wrong is nearest to the end, where matches are cheapest.
+        model = Model(*(filled[y] + " ".join(wrong[y]).encode()[-size:] for y in (True, False)), 0.0, level)
+    return model
+
+
 def fit(rows: Iterable[tuple[str, bool]], size: int = DICTIONARY, level: int = LEVEL) -> Model:
-    """A model of (text, high-scored) rows. Without a toxic window it flags nothing."""
+    """A model of (text, high-scored) rows: the threshold from windows held out
+    of a first model, the dictionaries from all. Without a clearly toxic and a
+    clearly ordinary window it flags nothing."""
     found = clean_windows(rows)
     labelled = [(w, y) for w, (y, _) in sorted(found.items(), key=lambda x: _order(x[0]))]
     if len({y for _, y in labelled}) < 2:
         return Model(b" " * 8, b" " * 8, math.inf, level)
-    held = labelled[::HOLD_OUT]
-    train = [x for i, x in enumerate(labelled) if i % HOLD_OUT]
-    sets = {y: [w for w, k in train if k == y] or [w for w, k in labelled if k == y] for y in (True, False)}
-    # A frequent window is a frequent sample, so that the dictionary surely holds it.
-    copies = {y: [w for w in v for _ in range(min(COPIES, found[w][1]))] for y, v in sets.items()}
-    model = Model(_dictionary(copies[True], size), _dictionary(copies[False], size), 0.0, level)
-    for _ in range(2):
-        cut = _best_threshold([model.score(w) for w, _ in train], [y for _, y in train])
-        wrong = {y: [w for w, k in train if k == y and (model.score(w) >= cut) != y] for y in (True, False)}
-        copies = {y: v + [w for w in wrong[y] for _ in range(COPIES)] for y, v in copies.items()}
-        model = Model(_dictionary(copies[True], size), _dictionary(copies[False], size), 0.0, level)
-    model.threshold = _best_threshold([model.score(w) for w, _ in held], [y for _, y in held])
+    often = {w: n for w, (_, n) in found.items()}
+    # A frequent window will come again, so it is always trained on, and counts for the threshold too.
+    frequent, others = [x for x in labelled if often[x[0]] >= COPIES], [x for x in labelled if often[x[0]] < COPIES]
+    held, train = others[::HOLD_OUT] + frequent, [x for i, x in enumerate(others) if i % HOLD_OUT] + frequent
+    if len({y for _, y in train}) < 2:
+        held = train = labelled
+    first = _dictionaries(train, often, size, level)
+    model = _dictionaries(labelled, often, size, level)
+    model.threshold = _best_threshold([first.score(w) for w, _ in held], [y for _, y in held], [often[w] for w, _ in held])
     return model
 
 
@@ -189,10 +209,13 @@ def _canonical_windows(batch: pa.RecordBatch, con, keep: tuple[str, ...]) -> pa.
 
 def training_rows(df: DataFrame, id_column: str, text: str, score: str, sample: int = SAMPLE) -> list[tuple[str, bool]]:
     """At most ``sample`` distinct records with a text and a clear score, those
-    with the smallest hashes of their ids, in the consistent form of problem 1."""
+    with the smallest hashes of their ids among about three times as many whose
+    hash is below a bound, in the consistent form of problem 1."""
     rows = df.select(F.col(id_column).alias("id"), F.col(text).alias("the text"), F.col(score).alias("p"))
     rows = rows.where(f"id is not null and `the text` is not null and not isnan(p) and (p >= {HIGH} or p <= {LOW})")
-    near = rows.withColumn("k", F.xxhash64(F.lit(7), "id")).orderBy("k", "id").limit(2 * sample)
+    # A hash below a bound leaves about three times the sample, wherever it is.
+    n = rows.count()
+    near = rows.withColumn("k", F.xxhash64(F.lit(7), "id")).where(F.expr(f"(k & {2**53 - 1}L) / {float(2**53)}") < min(1.0, 3.0 * sample / max(n, 1)))
     once = near.dropDuplicates(["id"]).orderBy("k", "id").limit(sample).select("the text", (F.col("p") >= HIGH).alias("y"))
     table = once.toArrow()
     con = connection()
