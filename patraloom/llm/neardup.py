@@ -118,8 +118,10 @@ def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int):
                 order = np.argsort(bucket, kind="stable")
                 ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 low = key.astype(np.uint32)
-                blobs = [_packed(low[order[i:j]], node[order[i:j]]) for i, j in zip(ends, ends[1:])]
-                yield _rows(_BANDED, buckets, bucket=np.arange(buckets, dtype=np.int32), a=np.diff(ends), blob=blobs)
+                full = np.flatnonzero(np.diff(ends))
+                if len(full):
+                    blobs = [_packed(low[order[ends[i] : ends[i + 1]]], node[order[ends[i] : ends[i + 1]]]) for i in full]
+                    yield _rows(_BANDED, len(full), bucket=full.astype(np.int32), a=np.diff(ends)[full], blob=blobs)
 
     return run
 

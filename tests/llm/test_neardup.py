@@ -85,6 +85,12 @@ def test_packing_round_trip():
     assert sorted(zip(k.tolist(), n.tolist())) == sorted(zip(keys.tolist(), nodes.tolist()))
 
 
+def test_more_buckets_than_entries(spark):
+    rows = [("1", "a text that is long enough"), ("2", "a text that is long enough!"), ("3", "abcde"), ("4", "")]
+    got = pairs_in_groups(similar_groups(spark.createDataFrame(rows, "id string, t string").repartition(4), "id", ["t"], buckets=300), "id")
+    assert [tuple(r) for r in got.collect()] == [("1", "2", "t")]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "id string, t string, key long, node long")
     assert similar_groups(df, "id", ["t"]).collect() == []
