@@ -52,9 +52,11 @@ def shared_dir(spark: SparkSession) -> str:
     temporary folder; elsewhere an unset folder is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if named:
+        if not current:
+            spark.sparkContext.setCheckpointDir(named)
         return named
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     master = spark.sparkContext.master
@@ -74,16 +76,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Like :func:`cut`, but columnar: a Parquet table in the shared folder,
-    for tables that are read several times with few of their columns."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_stage(df: DataFrame) -> None:
-    """Delete the files of a table written by :func:`stage`."""
+    for tables that are read several times with few of their columns. Its files
+    are deleted when the driver ends."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)
