@@ -169,11 +169,15 @@ def steps() -> tuple[str, ...]:
     )
 
 
+def several_map() -> str:
+    """The long table the first step looks up, as SQL."""
+    return "MAP {" + ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in tables()["several"].items()) + "}"
+
+
 def connection() -> duckdb.DuckDBPyConnection:
     """A DuckDB for one partition, with the long table the steps look up."""
     con = duckdb.connect(config={"threads": 1})
-    several = ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in tables()["several"].items())
-    con.execute(f"SET VARIABLE several = MAP {{{several}}}")
+    con.execute(f"SET VARIABLE several = {several_map()}")
     return con
 
 

@@ -30,5 +30,37 @@ SELECT source, keep_fraction, n, place, cutoff, (SELECT count(*) FROM records WH
 """
 
 
+
+def _formed(relation: str, keep: tuple[str, ...], columns: tuple[tuple[str, str], ...]) -> str:
+    return canonical.duckdb_query(relation, keep, columns).replace("getvariable('several')", f"({canonical.several_map()})")
+
+
+def _p1_found() -> str:
+    formed = _formed("(SELECT DISTINCT example_id, text_ory FROM pairs WHERE example_id IS NOT NULL AND text_ory IS NOT NULL)", ("example_id", "text_ory"), (("text_ory", "form"),))
+    return f"""WITH f AS MATERIALIZED ({formed})
+SELECT a.example_id AS example_id_a, b.example_id AS example_id_b FROM f a JOIN f b ON a.form = b.form AND a.text_ory <> b.text_ory AND a.example_id < b.example_id"""
+
+
+def _p1_canonical() -> str:
+    return _formed("(SELECT DISTINCT example_id, text_ory FROM pairs WHERE example_id IS NOT NULL)", ("example_id",), (("text_ory", "text"),))
+
+
+def _p3_found() -> str:
+    """Every pair of texts that share a run is compared: for small tables only."""
+    formed = _formed("(SELECT DISTINCT example_id, text_ory, text_eng FROM pairs WHERE example_id IS NOT NULL)", ("example_id",), (("text_ory", "text_ory"), ("text_eng", "text_eng")))
+    return f"""WITH RECURSIVE wide AS MATERIALIZED ({formed}),
+members AS MATERIALIZED (SELECT example_id, 'text_ory' AS field, text_ory AS t FROM wide WHERE text_ory IS NOT NULL UNION ALL SELECT example_id, 'text_eng', text_eng FROM wide WHERE text_eng IS NOT NULL),
+texts AS MATERIALIZED (SELECT field, t, row_number() OVER (ORDER BY field, t) AS n FROM (SELECT DISTINCT field, t FROM members)),
+runs AS MATERIALIZED (SELECT DISTINCT field, n, substr(t, i, 5) AS r FROM (SELECT field, n, t, unnest(range(1, length(t) - 3)) AS i FROM texts WHERE length(t) >= 5)),
+sizes AS MATERIALIZED (SELECT n, count(*) AS size FROM runs GROUP BY 1),
+near AS MATERIALIZED (SELECT a.n AS a, b.n AS b, count(*) AS both_have FROM runs a JOIN runs b ON a.field = b.field AND a.r = b.r AND a.n < b.n GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM near JOIN sizes x ON x.n = a JOIN sizes y ON y.n = b WHERE both_have::DOUBLE / (x.size + y.size - both_have) >= 0.7::DOUBLE),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT n AS a, n AS b FROM texts UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a),
+groups AS MATERIALIZED (SELECT a AS n, min(b) AS g FROM reach GROUP BY 1),
+grouped AS MATERIALIZED (SELECT m.example_id, m.field, g FROM members m JOIN texts x ON m.field = x.field AND m.t = x.t JOIN groups USING (n))
+SELECT a.example_id AS example_id_a, b.example_id AS example_id_b, a.field FROM grouped a JOIN grouped b ON a.field = b.field AND a.g = b.g AND a.example_id < b.example_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2, "p4_found": P4, "p4_report": P4_REPORT}
+    return {"p1_found": _p1_found(), "p1_canonical": _p1_canonical(), "p2_found": P2, "p3_found": _p3_found(), "p4_found": P4, "p4_report": P4_REPORT}
