@@ -544,7 +544,7 @@ def d5_cluster_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def d6_threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
     groups = dedup.exact_groups(pair_records(spark, folder), "example_id", "text_ory")
-    return dedup.sweep(cut(dedup.minhash(groups, "text_key", "norm")), "text_key", (0.95, 0.85, 0.70))
+    return dedup.sweep(cut(dedup.minhash(groups, "text_key", "norm")), "text_key")
 
 
 @query

@@ -46,5 +46,13 @@ def test_others_run(spark, data, name):
     assert QUERIES[name](spark, data).count() >= 1
 
 
+def test_sweep_has_all_thresholds(spark, data):
+    from patraloom.operators import dedup
+
+    rows = QUERIES["d6_threshold_sweep"](spark, data).collect()
+    assert [r.threshold for r in rows] == list(dedup.SWEEP)
+    assert all(a.pairs <= b.pairs for a, b in zip(rows, rows[1:]))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
