@@ -8,7 +8,6 @@ cluster's root the smallest key.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +33,22 @@ def exact_groups(df: DataFrame, key: str, text: str) -> DataFrame:
     return norm.groupBy("norm").agg(F.min(key).alias("text_key"), F.count(F.lit(1)).alias("members"))
 
 
-@lru_cache(maxsize=64)
+def least_equal(threshold: float, slots: int = SLOTS) -> int:
+    """The fewest equal slots that make a similarity of ``threshold``."""
+    return next(e for e in range(slots + 1) if e / slots >= threshold)
+
+
 def bands_for(threshold: float, slots: int = SLOTS) -> tuple[int, int]:
-    """(bands, rows of a band) with the least equal-weight sum of the areas of
-    false positives below the threshold and false negatives above it."""
-    x = (np.arange(1000) + 0.5) / 1000
-    best = (float("inf"), 1, slots)
-    for b in range(1, slots + 1):
-        for r in range(1, slots // b + 1):
-            hit = 1 - (1 - x**r) ** b
-            area = (hit[x < threshold].sum() + (1 - hit[x >= threshold]).sum()) / 1000
-            best = min(best, (area, b, r))
-    return best[1], best[2]
+    """(bands, least rows of a band) that lose no pair whose signatures agree in
+    ``threshold`` of the slots.
+
+    With one band more than slots may differ, one band is equal throughout. Where
+    that would leave bands of one row, bands of two are taken as long as they
+    miss a pair with a chance of at most 1e-6 (at 0.50 it is 1e-8)."""
+    bands = slots - least_equal(threshold, slots) + 1
+    if bands > slots // 2:
+        bands = slots // 2 if (1 - threshold**2) ** (slots // 2) <= 1e-6 else slots
+    return bands, slots // bands
 
 
 def minhash(texts: DataFrame, key: str, norm: str, slots: int = SLOTS, k: int = RUN) -> DataFrame:
@@ -67,32 +70,53 @@ def minhash(texts: DataFrame, key: str, norm: str, slots: int = SLOTS, k: int =
     return texts.where(F.col(norm) != "").select(key, norm).mapInArrow(run, f"{key} {texts.schema[key].dataType.simpleString()}, sig array<bigint>")
 
 
+def _sketch(sig: np.ndarray) -> np.ndarray:
+    """Two bits of each slot of ``sig`` (texts x slots), as words x texts: a
+    plane of first bits, then one of second bits. Equal slots have equal bits."""
+    h = mixed(sig)
+    planes = []
+    for bit in (63, 62):
+        bits = np.packbits((h >> np.uint64(bit) & np.uint64(1)).astype(np.uint8), axis=1)
+        planes.append(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64))
+    return np.concatenate(planes, axis=1).T
+
+
 def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS) -> DataFrame:
-    """``a < b``, ``similarity``: the pairs that share a band and whose
-    signatures agree in at least ``threshold`` of the slots."""
-    b, r = bands_for(threshold, slots)
+    """``a < b``, ``similarity``: the pairs whose signatures agree in at least
+    ``threshold`` of the slots.
+
+    They are looked for where a band is equal (see :func:`bands_for`). Two bits a
+    slot go along with the bands, so that pairs with too few slots of equal bits,
+    which can't have enough equal ones, are dropped as they meet."""
+    b, _ = bands_for(threshold, slots)
+    parts = np.array_split(np.arange(slots), b)
     kind = sigs.schema[key].dataType.simpleString()
+    words = [f"w{i}" for i in range(2 * -(-slots // 64))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.uint64)
+            sketch = _sketch(sig)
             keys = np.empty((b, batch.num_rows), np.uint64)
-            for band in range(b):
+            for band, rows in enumerate(parts):
                 h = np.full(batch.num_rows, band + 1, np.uint64)
-                for i in range(r):
-                    h = mixed(h * np.uint64(0x100000001B3) ^ sig[:, band * r + i])
+                for i in rows:
+                    h = mixed(h * np.uint64(0x100000001B3) ^ sig[:, i])
                 keys[band] = h
             which = pa.array(np.tile(np.arange(batch.num_rows), b))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), pa.array(keys.ravel().view(np.int64))], ["k", "band"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), pa.array(keys.ravel().view(np.int64)), *(pa.array(np.tile(w, b)) for w in sketch)], ["k", "band", *words])
 
-    banded = sigs.mapInArrow(run, f"k {kind}, band bigint")
+    banded = sigs.mapInArrow(run, f"k {kind}, band bigint, " + ", ".join(f"{w} bigint" for w in words))
     # Buckets of one are dropped by a count that is combined before the shuffle.
     shared = banded.groupBy("band").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("band")
     held = banded.join(shared, "band", "left_semi")
-    a, b_ = held.select("band", F.col("k").alias("a")), held.select("band", F.col("k").alias("b"))
-    pairs = a.join(b_, "band").where("a < b").select("a", "b").distinct()
+    a, b_ = (held.select("band", F.col("k").alias(n), *(F.col(w).alias(n + w) for w in words)) for n in "ab")
+    half = len(words) // 2
+    off = " + ".join(f"bit_count((a{x} ^ b{x}) | (a{y} ^ b{y}))" for x, y in zip(words[:half], words[half:], strict=True))
+    near = F.expr(f"a < b and {off} <= {slots - least_equal(threshold, slots)}")
+    pairs = a.join(b_, (a["band"] == b_["band"]) & near).select("a", "b").distinct()
     sa, sb = sigs.toDF("a", "sa"), sigs.toDF("b", "sb")
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return pairs.join(sa, "a").join(sb, "b").withColumn("similarity", equal / F.lit(float(slots))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,22 @@ def test_dedup(spark):
     assert dedup.bands_for(0.85) == (8, 16) or dedup.bands_for(0.85)[0] * dedup.bands_for(0.85)[1] <= 128
 
 
+@pytest.mark.parametrize("threshold", dedup.SWEEP)
+def test_no_pair_of_signatures_is_lost(spark, threshold):
+    """Pairs that agree in just as many slots as they must, and in one less."""
+    rng = random.Random(7)
+    least, rows, want = math.ceil(threshold * 128), [], set()
+    for n in range(150):
+        sig = [rng.randrange(2**32) for _ in range(128)]
+        rows.append((f"a{n:03d}", sig))
+        for kind, differ in (("b", 128 - least), ("c", 129 - least)):
+            at = set(rng.sample(range(128), differ))
+            rows.append((f"{kind}{n:03d}", [rng.randrange(2**32) if i in at else x for i, x in enumerate(sig)]))
+        want.add((f"a{n:03d}", f"b{n:03d}"))
+    got = dedup.candidate_pairs(spark.createDataFrame(rows, "k string, sig array<bigint>"), "k", threshold).collect()
+    assert {(r.a, r.b) for r in got if r.a[0] == "a"} == want and all(r.similarity >= threshold for r in got)
+
+
 def test_split_by_group_never_straddles(spark):
     from patraloom.functions.ids import assign_split
 
