@@ -400,6 +400,16 @@ def a24_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.bootstrap(predictions(spark, folder), "gold", "pred", 50))
 
 
+@query
+def a24_replicates(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(metrics.resamples(predictions(spark, folder), "gold", "pred"))
+
+
+@query
+def a24_interval(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(metrics.interval(metrics.resamples(predictions(spark, folder), "gold", "pred")))
+
+
 @query
 def a25_floors(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.floors(predictions(spark, folder), "example_id", "gold"))

@@ -94,6 +94,18 @@ def test_bootstrap(spark):
     assert metrics.bootstrap(df.repartition(7), "g", "p", 20).exceptAll(b).count() == 0
 
 
+def test_resamples(spark):
+    df = spark.createDataFrame([(1, 1)] * 40 + [(0, 0)] * 40 + [(1, 0)] * 10 + [(0, 1)] * 10, "g int, p int")
+    b = metrics.resamples(df, "g", "p").cache()
+    assert b.count() == b.where("tn + fp + fn + tp = 100").count() == 2000
+    mean = b.agg(*(F.avg(c) for c in ("tn", "fp", "fn", "tp"))).first()
+    assert all(abs(x - y) < 0.5 for x, y in zip(mean, (40, 10, 10, 40)))
+    i, slots = metrics.interval(b).first(), metrics.interval(metrics.bootstrap(df, "g", "p")).first()
+    assert abs(i.low - slots.low) < 0.02 and abs(i.high - slots.high) < 0.02
+    assert metrics.resamples(df.repartition(7), "g", "p").exceptAll(b).count() == 0
+    assert metrics.resamples(df.limit(0), "g", "p").count() == 0
+
+
 def test_quotas():
     assert sampling.largest_remainder({"a": 70.5, "b": 12.4, "c": 17.1}, 100) == {"a": 71, "b": 12, "c": 17}
     assert sampling.largest_remainder({"a": 1}, 0) == {"a": 0}

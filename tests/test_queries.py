@@ -46,6 +46,12 @@ def test_others_run(spark, data, name):
     assert QUERIES[name](spark, data).count() >= 1
 
 
+def test_bootstrap_has_an_interval(spark, data):
+    assert QUERIES["a24_replicates"](spark, data).count() == 2000
+    r = QUERIES["a24_interval"](spark, data).collect()
+    assert len(r) == 1 and 0 < r[0].low < r[0].high < 1
+
+
 def test_sweep_has_all_thresholds(spark, data):
     from patraloom.operators import dedup
 
