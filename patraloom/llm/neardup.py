@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -270,13 +271,47 @@ def _blocks(least_bits: int):
     return run
 
 
+def _in_balls(least_bits: int):
+    """Per pair of blocks of a ball: the pairs of a left and another text whose sketches are near."""
+
+    def run(group: pa.Table) -> pa.Table:
+        node, left = group["node"].to_numpy(), group["left"].to_numpy()
+        s = np.stack([group["s1"].to_numpy(), group["s2"].to_numpy()], 1).view(np.uint64)
+        right = np.flatnonzero(~left)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for x in np.flatnonzero(left):
+            off = np.bitwise_count(s[right] ^ s[x]).sum(1)
+            near = right[(off <= SKETCH - least_bits) & (node[right] != node[x])]
+            a.append(np.minimum(node[near], node[x]))
+            b.append(np.maximum(node[near], node[x]))
+        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
+def ball_pairs(held: DataFrame, nodes: DataFrame, reach: float, block: int = BLOCK) -> DataFrame:
+    """The pairs to verify inside the balls of ``held``: each text with all of its
+    nearest pivot's ball, block by block. Similar texts that a region's rest no
+    longer holds both are such a pair."""
+    ball = held.where(F.col("d") <= reach + 1e-9).select("key", "pivot", "node", "home")
+    sizes = ball.groupBy("key", "pivot").agg(F.expr(f"cast(ceil(count(1) / {block}) as int)").alias("count"))
+    ball = ball.join(sizes, ["key", "pivot"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("count")).cast("int")).join(nodes.select("node", "s1", "s2"), "node")
+    each = ball.withColumn("other", F.explode(F.expr("sequence(0, count - 1)")))
+    columns = ["key", "pivot", "i", "j", "node", "s1", "s2", "left"]
+    left = each.where("home").withColumn("i", F.col("part")).withColumn("j", F.col("other")).withColumn("left", F.lit(True))
+    right = each.withColumn("i", F.col("other")).withColumn("j", F.col("part")).withColumn("left", F.lit(False))
+    return left.select(columns).unionByName(right.select(columns)).groupBy("key", "pivot", "i", "j").applyInArrow(_in_balls(SKETCH_LEAST), "a long, b long")
+
+
 def metric_join(
-    hot: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int = RUN, small: int = SMALL, pivots: int = PIVOTS, block: int = BLOCK
+    hot: DataFrame, nodes: DataFrame, least: float = SIMILAR, k: int = RUN, small: int = SMALL, pivots: int = PIVOTS, block: int = BLOCK, inner: list[DataFrame] | None = None
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """(pairs to verify, exact links) of large regions ``hot`` (``key``, ``node``).
 
     All pairs that are similar come out, but for those inside one ball (of
-    radius 1 - ``least`` around a pivot), which its links already connect.
+    radius 1 - ``least`` around a pivot), which its links already connect;
+    ``inner``, if given, gets the pairs to verify of the balls.
     """
     spark, reach = hot.sparkSession, 1 - least
     todo, links = [], []
@@ -308,6 +343,8 @@ def metric_join(
         each = each.select(F.col("key").alias("of"), F.col("part").alias("in_part"), F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
         held = cut(members.groupBy("key", "part").cogroup(each.groupBy("of", "in_part")).applyInArrow(_regions(least, k), "key long, node long, pivot long, d double, home boolean"))
         links.append(held.where((F.col("d") <= reach + 1e-9) & (F.col("node") != F.col("pivot"))).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")))
+        if inner is not None:
+            inner.append(ball_pairs(held, nodes, reach, block))
         # Of a ball, only what may be near a text outside it stays.
         outside = held.where(f"d > {reach}").groupBy("key", "pivot").agg(F.min("d").alias("outer"))
         rest = held.join(outside, ["key", "pivot"]).where(f"d > {reach} or d >= outer - {reach} - 1e-9").join(sizes.select("key", "n"), "key")
@@ -318,11 +355,12 @@ def metric_join(
 
 
 def similar_groups(
-    df: DataFrame, id_column: str, fields: Sequence[str], least: float = SIMILAR, k: int = RUN, rows: int = ROWS, bands: int = BANDS, small: int = SMALL, buckets: int | None = None
+    df: DataFrame, id_column: str, fields: Sequence[str], least: float = SIMILAR, k: int = RUN, rows: int = ROWS, bands: int = BANDS, small: int = SMALL, buckets: int | None = None, links: bool = False
 ) -> DataFrame:
-    """``field``, the id, ``node`` (equal for equal texts), ``group`` (the
-    smallest node of the group) and ``links`` (distinct other texts found
-    similar) of every record whose text isn't null, for each field on its own.
+    """``field``, the id, ``node`` (equal for equal texts) and ``group`` (the
+    smallest node of the group) of every record whose text isn't null, for each
+    field on its own. With ``links`` also ``links``, the distinct other texts
+    found similar; for it all pairs of a ball are compared, which groups don't need.
 
     Repeated rows of an id count once; texts below ``k`` characters are similar
     to equal ones only; records without an id are left out.
@@ -336,17 +374,22 @@ def similar_groups(
     nodes = met.where(f"kind = {_NODE} and (s1 <> 0 or s2 <> 0)").groupBy(F.col("a").alias("node")).agg(F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("text").alias("text"))
     pairs = met.where(f"kind = {_EDGE}").select("a", "b")
     hot = met.where(f"kind = {_HOT}").select(F.col("a").alias("key"), F.col("b").alias("node"))
-    more, links = metric_join(hot, nodes, least, k, small) if not hot.isEmpty() else (None, None)
+    inner: list[DataFrame] = []
+    more, linked = metric_join(hot, nodes, least, k, small, inner=inner if links else None) if not hot.isEmpty() else (None, None)
     if more is not None:
         pairs = pairs.unionByName(more)
     edges = verified(pairs.distinct(), nodes, least, k)
-    if links is not None:
-        edges = edges.unionByName(links)
+    if linked is not None:
+        edges = edges.unionByName(linked)
     edges = cut(edges.distinct())
-    roots = components(edges)
+    grouped = members.join(components(edges), "node", "left")
+    found = ["field", F.col("id").alias(id_column), "node", F.coalesce("root", "node").alias("group")]
+    if not links:
+        return grouped.select(*found)
+    if inner:
+        edges = edges.unionByName(verified(reduce(DataFrame.unionByName, inner).distinct(), nodes, least, k)).distinct()
     degree = edges.select(F.col("a").alias("node")).union(edges.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    grouped = members.join(roots, "node", "left").join(degree, "node", "left")
-    return grouped.select("field", F.col("id").alias(id_column), "node", F.coalesce("root", "node").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
+    return grouped.join(degree, "node", "left").select(*found, F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def pairs_in_groups(groups: DataFrame, id_column: str) -> DataFrame:

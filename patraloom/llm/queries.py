@@ -45,8 +45,8 @@ def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.target_sample(_table(spark, folder, "release"), _table(spark, folder, "sample_targets"))[0]
 
 
-def _groups(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.similar_groups(_table(spark, folder, "pairs"), "example_id", ["text_ory", "text_eng"])
+def _groups(spark: SparkSession, folder: str, links: bool = False) -> DataFrame:
+    return neardup.similar_groups(_table(spark, folder, "pairs"), "example_id", ["text_ory", "text_eng"], links=links)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,8 +55,8 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """The group of every record, per field."""
-    return _groups(spark, folder)
+    """The group of every record and its similar texts, per field."""
+    return _groups(spark, folder, links=True)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

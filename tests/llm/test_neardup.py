@@ -76,6 +76,17 @@ def test_metric_join_covers_all_links(spark):
     assert all(find(a) == find(b) for a in text for b in text if a < b and jaccard(text[a], text[b]) >= 0.7)
 
 
+@pytest.mark.parametrize("small", [256, 8])
+def test_links_count_every_similar_text(spark, small):
+    """Large regions too: of texts that differ in one or two words, most lie in one ball."""
+    rng = random.Random(3)
+    base = [sentence(rng, 40).split() for _ in range(2)]
+    texts = {" ".join(b[:i] + ["changed"] + b[i + 1 :]) for b in base for i in range(40)} | {" ".join(base[0][:i] + ["an", "insertion", "of", "words"] + base[0][i + 3 :]) for i in range(0, 36, 2)}
+    rows = [(f"{n:03d}", t) for n, t in enumerate(sorted(texts))]
+    got = similar_groups(spark.createDataFrame(rows, "id string, t string"), "id", ["t"], small=small, links=True).collect()
+    assert {r.id: r.links for r in got} == {i: sum(t != u and jaccard(t, u) >= 0.7 for _, u in rows) for i, t in rows}
+
+
 def test_packing_round_trip():
     import numpy as np
 
