@@ -392,7 +392,7 @@ def a22_turn_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a23_length_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(audit.length_profile(table(spark, folder, "documents").where("source is not null"), "n_chars", (64, 128, 256, 512, 1024, 2048, 4096), "source"))
+    return rounded(audit.length_profile(table(spark, folder, "documents"), "n_chars", (64, 128, 256, 512, 1024, 2048, 4096), "source"))
 
 
 @query

@@ -60,5 +60,10 @@ def test_sweep_has_all_thresholds(spark, data):
     assert all(a.pairs <= b.pairs for a, b in zip(rows, rows[1:]))
 
 
+def test_profile_keeps_null_sources(spark, data, tmp_path):
+    spark.read.parquet(f"{data}/documents.parquet").selectExpr("* except (source)", "if(n_chars % 2 = 0, source, null) as source").write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["a23_length_profile"](spark, str(tmp_path)).where("source is null").count() == 1
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
