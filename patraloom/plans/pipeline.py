@@ -22,7 +22,8 @@ class Curated:
 
 
 def curate(spark: SparkSession, folder: str) -> Curated:
-    """Gate, attach scores, band, remove exact duplicates, split by group."""
+    """Gate, attach scores, band, remove exact duplicates, split by group.
+    Records without a source are dropped with those that have no label."""
     gated = gates.gate_texts(frames.scored(spark, folder))
     kept = gates.kept(gated)
     labelled = kept.where("label is not null and source_config is not null")

@@ -564,7 +564,7 @@ def d7_english_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d8_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    rows = release_records(spark, folder).where("label is not null and source_config is not null").drop("dedup_group")
+    rows = release_records(spark, folder).where("label is not null").drop("dedup_group")
     groups, _, roots = dedup.near_duplicates(rows, "example_id", "text_ory")
     return sampling.representatives(dedup.map_back(rows, "example_id", "text_ory", groups, roots), "dedup_group", "label", "source_config", "example_id")
 

@@ -65,5 +65,10 @@ def test_profile_keeps_null_sources(spark, data, tmp_path):
     assert QUERIES["a23_length_profile"](spark, str(tmp_path)).where("source is null").count() == 1
 
 
+def test_survivors_keep_null_sources(spark, data, tmp_path):
+    spark.read.parquet(f"{data}/release.parquet").selectExpr("* except (source_config)", "cast(null as string) as source_config").write.parquet(f"{tmp_path}/release.parquet")
+    assert QUERIES["d8_survivors"](spark, str(tmp_path)).where("source_config is null").count() > 0
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
