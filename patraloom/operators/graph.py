@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patraloom.session import cut
+from patraloom.session import cut, forget
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
-        now = cut(small)
+        before, now = now, cut(small)
+        forget(before)
         # Two equal sums of hashes, and as many rows: the edges no longer change.
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:

@@ -67,11 +67,42 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def _path(spark: SparkSession, folder: str):
+    """A Hadoop path and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that a lost
-    executor never forces the whole lineage to be computed again."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    executor never forces the whole lineage to be computed again. The files are
+    deleted by :func:`forget`, or when the driver ends."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    out = df.checkpoint(eager=True)
+    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        out._patraloom_files = file.get()
+        path, files = _path(spark, file.get())
+        files.deleteOnExit(path)
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of frames that :func:`cut` made. Whatever rests on them
+    must have been written before."""
+    for df in frames:
+        held = getattr(df, "_patraloom_files", None)
+        if held:
+            path, files = _path(df.sparkSession, held)
+            files.delete(path, True)
+
+
+def source_bytes(df: DataFrame) -> int:
+    """The bytes of the files a frame is read from, as Spark estimates them; 0 where it can't."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 2**60)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -81,6 +112,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(folder)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    path, files = _path(spark, folder)
+    files.deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
