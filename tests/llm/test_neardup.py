@@ -42,38 +42,85 @@ def brute(rows):
     return {(a, b, "t") for a in parent for b in parent if a < b and find(a) == find(b)}
 
 
-@pytest.mark.parametrize("small", [256, 4])
-def test_against_brute_force(spark, small, monkeypatch):
+@pytest.mark.parametrize("small,block,exact", [(256, 4096, False), (2, 4096, False), (2, 8, False), (16, 4096, True), (2, 8, True)])
+def test_against_brute_force(spark, small, block, exact):
     rows = corpus()
     df = spark.createDataFrame(rows + rows[:9] + [(None, "x")], "id string, t string")
-    monkeypatch.setattr(neardup, "SMALL", small)
-    got = {tuple(r) for r in pairs_in_groups(similar_groups(df.repartition(3), "id", ["t"], small=small), "id").collect()}
-    assert got == brute(rows)
+    got = pairs_in_groups(similar_groups(df.repartition(3), "id", ["t"], small=small, block=block, exact=exact), "id", part=7)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows))
 
 
-def test_metric_join_covers_all_links(spark):
+def joined(text, edges):
+    parent = {n: n for n in text}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[find(a)] = find(b)
+    return all(find(a) == find(b) for a in text for b in text if a < b and jaccard(text[a], text[b]) >= 0.7)
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_metric_join_covers_all_links(spark, block):
     """A hot region of near-duplicates and strangers: links and pairs connect what is similar."""
     from pyspark.sql import functions as F
 
     rows = [(i, t) for i, (_, t) in enumerate(corpus(5)) if t and len(t) > 20]
     rows = list({t: (n, t) for n, t in rows}.values())
     nodes = spark.createDataFrame([(n, 0, 0, t) for n, t in rows], "node long, s1 long, s2 long, text string")
-    hot = nodes.select(F.lit(7).cast("long").alias("key"), "node")
-    todo, links = neardup.metric_join(hot, nodes, small=8, pivots=4, block=16)
+    hot = nodes.select(F.lit(7).cast("long").alias("key"), "node", F.col("node").alias("root"))
+    links, todo = neardup.metric_join(hot, nodes, pivots=4, block=block)
     text = dict(rows)
     edges = [tuple(r) for r in links.collect()]
     assert all(jaccard(text[a], text[b]) >= 0.7 for a, b in edges)
-    edges += [(a, b) for a, b in todo.collect() if jaccard(text[a], text[b]) >= 0.7]
-    parent = {n: n for n in text}
+    if todo is not None:
+        edges += [(a, b) for a, b in todo.collect() if jaccard(text[a], text[b]) >= 0.7]
+    assert joined(text, edges)
 
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
 
-    for a, b in edges:
-        parent[find(a)] = find(b)
-    assert all(find(a) == find(b) for a in text for b in text if a < b and jaccard(text[a], text[b]) >= 0.7)
+@pytest.mark.parametrize("every", [False, True])
+def test_region_in_memory(every):
+    texts = sorted({t for _, t in corpus(7) if t and len(t) >= 5})
+    node = list(range(100, 100 + len(texts)))
+    links = neardup.join_region(node, texts, node, 0.7, 5, every, pivots=4)
+    true = {(i + 100, j + 100) for i, t in enumerate(texts) for j, u in enumerate(texts) if i < j and jaccard(t, u) >= 0.7}
+    assert set(links) <= true and joined(dict(zip(node, texts)), links)
+    assert not every or set(links) == true
+    # What is connected beforehand needs no link.
+    assert every or neardup.join_region(node, texts, [7] * len(node), 0.7, 5, False) == []
+
+
+def test_prefixes_of_similar_texts_meet():
+    """The least similar pairs that count: of 17 runs 14 in common, where the others are the rarest."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 9, neardup.COUNTED)
+    for size in range(4, 60):
+        for _ in range(20):
+            common = -(-7 * 2 * size // 17)
+            if common > size:
+                continue
+            h = rng.integers(0, 2**62, 2 * size - common).astype(np.uint64)
+            x, y = h[:size], h[size - common :]
+            if common / len(h) < 0.7:
+                continue
+            key, text = neardup.prefix(np.concatenate([x, y]), np.array([size, size]), counts, 0.7)
+            assert set(key[text == 0].tolist()) & set(key[text == 1].tolist())
+
+
+def test_hot_template(spark):
+    """Many texts of one template, some near it and some not, in one region."""
+    rng = random.Random(11)
+    frame = sentence(rng, 30)
+    rows = [(f"{i:05d}", f"{frame} {sentence(rng, 1 + 12 * (i % 3 == 0))}") for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, t string")
+    got = similar_groups(df, "id", ["t"], block=64).collect()
+    group = {r.id: r.group for r in got}
+    assert {(a, b) for a in group for b in group if a < b and group[a] == group[b]} == {(a, b) for a, b, _ in brute(rows)}
 
 
 @pytest.mark.parametrize("small", [256, 8])
@@ -92,8 +139,8 @@ def test_packing_round_trip():
 
     rng = np.random.default_rng(1)
     keys, nodes = rng.integers(0, 2**32, 5000, np.uint32), rng.integers(-(2**62), 2**62, 5000)
-    k, n = neardup._unpacked(neardup._packed(keys, nodes))
-    assert sorted(zip(k.tolist(), n.tolist())) == sorted(zip(keys.tolist(), nodes.tolist()))
+    k, place, table = neardup._unpacked(neardup._packed(keys, nodes))
+    assert sorted(zip(k.tolist(), table[place].tolist())) == sorted(zip(keys.tolist(), nodes.tolist()))
 
 
 def test_more_buckets_than_entries(spark):
