@@ -38,18 +38,26 @@ def run_hashes(texts: Sequence[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return mixed(h[inside[: len(h)]]), np.maximum(sizes - k + 1, 0)
 
 
-def signatures(hashes: np.ndarray, n: np.ndarray, values: int, seed: int = 42) -> np.ndarray:
-    """MinHash values (values x texts, 32 bits) of texts with at least one run."""
-    times, plus = permutations(values, seed)
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
+def signatures(hashes: np.ndarray, n: np.ndarray, values: int, seed: int = 42, stride: int = 16) -> np.ndarray:
+    """MinHash values (values x texts, 32 bits) of texts with at least one run.
+
+    Every ``stride`` values begin with two permutations of the two halves of a
+    run's hash, a start and a step; the others go on from the start by the step."""
+    times, plus = permutations(2 * (values // stride + 1), seed)
+    high, low = (hashes >> np.uint64(32)).astype(np.uint32), hashes.astype(np.uint32)
     starts = np.cumsum(n) - n
     out = np.empty((values, len(n)), np.uint32)
     at = 0
     while at < len(n):  # pieces that stay in the processor's cache
         end = max(at + 1, int(np.searchsorted(starts, starts[at] + 32768)))
-        piece = short[starts[at] : starts[end - 1] + n[end - 1]]
+        piece = slice(starts[at], starts[end - 1] + n[end - 1])
         first = starts[at:end] - starts[at]
         for v in range(values):
-            out[v, at:end] = np.minimum.reduceat((piece ^ plus[v]) * times[v], first)
+            g = v // stride * 2
+            if v % stride == 0:
+                now, step = (high[piece] ^ plus[g]) * times[g], (low[piece] ^ plus[g + 1]) * times[g + 1] | np.uint32(1)
+            else:
+                now += step
+            np.minimum.reduceat(now, first, out=out[v, at:end])
         at = end
     return out

@@ -73,18 +73,18 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that a lost
-    executor never forces the whole lineage to be computed again. The files are
-    deleted by :func:`forget`, or when the driver ends."""
+    executor never forces the whole lineage to be computed again. It is a Parquet
+    table, as a checkpoint would compute the frame twice. The files are deleted
+    by :func:`forget`, or when the driver ends."""
     spark = df.sparkSession
-    shared_dir(spark)
-    out = df.checkpoint(eager=True)
-    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
-    if file.isDefined():
-        out._patraloom_files = file.get()
-        path, files = _path(spark, file.get())
-        files.deleteOnExit(path)
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    path, files = _path(spark, folder)
+    files.deleteOnExit(path)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._patraloom_files = folder
     return out
 
 
@@ -103,15 +103,3 @@ def source_bytes(df: DataFrame) -> int:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     return sum(s for s in sizes if s < 2**60)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Like :func:`cut`, but columnar: a Parquet table in the shared folder,
-    for tables that are read several times with few of their columns. Its files
-    are deleted when the driver ends."""
-    spark = df.sparkSession
-    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(folder)
-    path, files = _path(spark, folder)
-    files.deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
