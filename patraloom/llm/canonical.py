@@ -169,15 +169,17 @@ def steps() -> tuple[str, ...]:
     )
 
 
+@lru_cache(maxsize=1)
 def several_map() -> str:
     """The long table the first step looks up, as SQL."""
     return "MAP {" + ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in tables()["several"].items()) + "}"
 
 
-def connection() -> duckdb.DuckDBPyConnection:
-    """A DuckDB for one partition, with the long table the steps look up."""
+def connection(several: str | None = None) -> duckdb.DuckDBPyConnection:
+    """A DuckDB for one partition, with the long table the steps look up: the
+    driver's :func:`several_map`, so that workers need not make it again."""
     con = duckdb.connect(config={"threads": 1})
-    con.execute(f"SET VARIABLE several = {several_map()}")
+    con.execute(f"SET VARIABLE several = {several or several_map()}")
     return con
 
 
@@ -201,10 +203,10 @@ def canonical_text(df: DataFrame, columns: dict[str, str], keep: list[str] | Non
     kept = [c for c in (df.columns if keep is None else keep) if c not in columns.values()]
     pairs = tuple(columns.items())
     fields = [df.schema[c] for c in kept] + [T.StructField(b, T.StringType()) for _, b in pairs]
-    sql = duckdb_query("batch", tuple(kept), pairs)
+    sql, several = duckdb_query("batch", tuple(kept), pairs), several_map()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = connection()
+        con = connection(several)
         for batch in batches:
             if batch.num_rows:
                 yield from con.from_arrow(pa.Table.from_batches([batch])).query("batch", sql).to_arrow_table().to_batches()

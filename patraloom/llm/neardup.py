@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patraloom.functions.minhash import STEP, mixed, run_hashes, signatures
-from patraloom.llm.canonical import connection, duckdb_query
+from patraloom.llm.canonical import connection, duckdb_query, several_map
 from patraloom.operators.graph import components
-from patraloom.session import cut, forget, source_bytes, stage
+from patraloom.session import cut, forget, source_bytes
 
 #: Characters of a run, least similarity, MinHash values of a band, and bands.
 RUN, SIMILAR, ROWS, BANDS = 5, 0.70, 5, 64
@@ -50,9 +50,9 @@ PACKED = (1_000_000, 8_000_000)
 #: Entries of a bucket that are in memory at once, about; a larger one is gone through by ranges of keys.
 AT_ONCE = 2_000_000
 #: One bit each of this many MinHash values makes the sketch; pairs with fewer
-#: equal bits are not compared (at the threshold 109 are expected; 82 is six and
-#: a half standard deviations below, with a chance below 1e-9).
-SKETCH, SKETCH_LEAST = 128, 82
+#: equal bits are not compared (at the threshold 109 are expected; 88 is more than
+#: five standard deviations below).
+SKETCH, SKETCH_LEAST = 128, 88
 #: Texts to compare that are looked up by a broadcast of their ids at most.
 LOOKED_UP = 1_000_000
 #: Slots of the table of run counts that orders runs by rarity (with ``exact``).
@@ -96,11 +96,10 @@ def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([made.get(c, pa.nulls(n, t)) for c, t in schema.items()], list(schema))
 
 
-def _formed(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...]) -> Iterator[list[tuple[str, pa.Array, list[str], np.ndarray]]]:
+def _formed(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], sql: str, several: str) -> Iterator[list[tuple[str, pa.Array, list[str], np.ndarray]]]:
     """Per batch, for each field: ids, texts in the consistent form, and nodes
     (64-bit hashes of field and text) of the rows whose text isn't null."""
-    con = connection()
-    sql = duckdb_query("batch", ("the id",), tuple((f, f) for f in fields))
+    con = connection(several)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -129,12 +128,18 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(COUNTED)).astype(np.int64)
 
 
+def _forming(fields: tuple[str, ...]) -> tuple[str, str]:
+    """The SQL and the table of the consistent form, made once on the driver."""
+    return duckdb_query("batch", ("the id",), tuple((f, f) for f in fields)), several_map()
+
+
 def _count_runs(fields: tuple[str, ...], k: int):
     """Per partition: how many texts hold a run, for each slot of runs."""
+    forming = _forming(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(COUNTED, np.int64)
-        for formed in _formed(batches, fields):
+        for formed in _formed(batches, fields, *forming):
             for _, _, texts, _ in formed:
                 distinct, _ = _distinct_runs(*run_hashes(texts, k))
                 held += np.bincount(_slots(distinct), minlength=COUNTED)
@@ -167,7 +172,7 @@ def prefix(hashes: np.ndarray, n: np.ndarray, counts: np.ndarray, least: float)
 
 def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int, k: int, least: float, counts: np.ndarray | None):
     """A node row for each text, and its keys packed by bucket: bands, or with ``counts`` rare runs."""
-    at_once = min(max(PACKED[0], 64 * buckets), PACKED[1])
+    at_once, forming = min(max(PACKED[0], 64 * buckets), PACKED[1]), _forming(fields)
 
     def pack(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, node = np.concatenate(keys), np.concatenate(nodes)
@@ -181,7 +186,7 @@ def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int, k: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, held = [], [], 0
-        for formed in _formed(batches, fields):
+        for formed in _formed(batches, fields, *forming):
             for which, (field, ids, texts, node) in enumerate(formed):
                 hashes, n = run_hashes(texts, k)
                 long = np.flatnonzero(n)
@@ -302,8 +307,10 @@ def _verify(least: float, k: int):
 
 
 def _with_text(fields: tuple[str, ...]):
+    forming = _forming(fields)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for formed in _formed(batches, fields):
+        for formed in _formed(batches, fields, *forming):
             for _, _, texts, node in formed:
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(texts, pa.string())], ["node", "text"])
 
@@ -322,8 +329,10 @@ class Texts:
         """``node``, ``text`` of the distinct ``node`` of ``nodes``."""
         wanted = cut(nodes.select("node").distinct())
         few = F.broadcast if wanted.count() <= LOOKED_UP else lambda df: df
-        ids = self.members.join(few(wanted), "node", "left_semi").groupBy("node").agg(F.min("id").alias("the id")).select("the id").distinct()
-        found = self.rows.join(few(ids), "the id", "left_semi").mapInArrow(_with_text(self.fields), "node long, text string")
+        ids = self.members.join(few(wanted), "node", "left_semi").groupBy("node", "field").agg(F.min("id").alias("the id"))
+        ids = ids.groupBy("the id").agg(*(F.bool_or(F.col("field") == f).alias(f"needs {i}") for i, f in enumerate(self.fields)))
+        needed = [F.when(F.col(f"needs {i}"), F.col(f"`{f}`")).alias(f) for i, f in enumerate(self.fields)]
+        found = self.rows.join(few(ids), "the id").select("the id", *needed).mapInArrow(_with_text(self.fields), "node long, text string")
         return found.join(few(wanted), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
@@ -401,7 +410,8 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
         for x, q in zip(*np.nonzero(far <= reach + 1e-9), strict=True):
             link(own[x], chosen[q])
         inside = far <= far.min(1, keepdims=True) + 2 * reach + 1e-9
-        if inside.sum(0).max() > 0.7 * len(own):
+        # Cells that hold more pairs than the region itself don't part it.
+        if (inside.sum(0).astype(float) ** 2).sum() >= len(own) ** 2:
             compare(own, far)
         else:
             todo += [own[c] for c in inside.T if c.sum() > 1]
@@ -577,7 +587,7 @@ def similar_groups(
     n = buckets or min(BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), source_bytes(texts) // BUCKET_BYTES))
     counts = rarity(texts, fields, k) if exact else None
     signed = texts.mapInArrow(_sign(fields, n, rows, bands, k, least, counts), STAGED)
-    met = stage(signed.repartitionById(n, "bucket").mapInArrow(_meet(small), STAGED), "neardup")
+    met = cut(signed.repartitionById(n, "bucket").mapInArrow(_meet(small), STAGED), "neardup")
     members = met.where(f"kind = {_NODE}").select("field", "id", F.col("a").alias("node"))
     sketches = met.where(f"kind = {_NODE} and (s1 <> 0 or s2 <> 0)").groupBy(F.col("a").alias("node")).agg(F.min("s1").alias("s1"), F.min("s2").alias("s2"))
     look = Texts(texts, fields, members)
@@ -595,8 +605,14 @@ def similar_groups(
         more, pairs = metric_join(hot, nodes, least, k, block=block, bits=bits, every=links)
         if pairs is not None:
             more = more.unionByName(verified(pairs.distinct(), sketches, look, least, k, bits))
-        edges = cut(edges.unionByName(more).distinct())
-        roots = components(edges)
+        more = cut(more.distinct())
+        # The components so far are the nodes of those that the new links make.
+        ends = more.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        joined = cut(components(ends)).toDF("root", "new")
+        both = roots.join(joined, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+        alone = joined.join(roots, joined["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("new").alias("root"))
+        roots = both.unionByName(alone)
+        edges = edges.unionByName(more).distinct()
     grouped = members.distinct().join(roots, "node", "left")
     found = ["field", F.col("id").alias(id_column), "node", F.coalesce("root", "node").alias("group")]
     if not links:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patraloom.llm.canonical import connection, duckdb_query
+from patraloom.llm.canonical import connection, duckdb_query, several_map
 
 #: Training records at most, bytes of a dictionary, and zstandard's level.
 SAMPLE, DICTIONARY, LEVEL = 24_000, 65_536, 3
@@ -203,8 +203,8 @@ def _order(window: str) -> bytes:
     return hashlib.blake2b(window.encode(), digest_size=8).digest()
 
 
-def _canonical_windows(batch: pa.RecordBatch, con, keep: tuple[str, ...]) -> pa.Table:
-    return con.from_arrow(pa.Table.from_batches([batch])).query("batch", duckdb_query("batch", keep, (("the text", "the text"),))).to_arrow_table()
+def _formed(batch: pa.RecordBatch, con, sql: str) -> pa.Table:
+    return con.from_arrow(pa.Table.from_batches([batch])).query("batch", sql).to_arrow_table()
 
 
 def training_rows(df: DataFrame, id_column: str, text: str, score: str, sample: int = SAMPLE) -> list[tuple[str, bool]]:
@@ -228,12 +228,14 @@ def scores(df: DataFrame, model: Model, keep: list[str], text: str = "text_eng")
     for a blank one) and ``toxic`` of every row."""
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("tox_score", T.DoubleType()), T.StructField("toxic", T.BooleanType())])
 
+    sql, several = duckdb_query("batch", tuple(keep), (("the text", "the text"),)), several_map()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = connection()
+        con = connection(several)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            done = _canonical_windows(batch, con, tuple(keep))
+            done = _formed(batch, con, sql)
             made = []
             for t in done["the text"].to_pylist():
                 made.append(None if t is None else max(map(model.score, windows(t)), default=0.0))
