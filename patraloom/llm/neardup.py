@@ -293,15 +293,52 @@ def _similar(x: set[str], y: set[str]) -> float:
     return both / (len(x) + len(y) - both)
 
 
+def _sorted_runs(texts: Sequence[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of each text (at most 2^20 texts), sorted, one text after
+    the other, as hashes of 44 bits, and how many each text has. Two runs of a
+    pair of ordinary texts have equal hashes once in 10^8 pairs or so."""
+    hashes, n = run_hashes(texts, k)
+    x = np.sort(np.repeat(np.arange(len(n), dtype=np.uint64), n) << np.uint64(44) | hashes >> np.uint64(20))
+    x = x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+    return x & np.uint64((1 << 44) - 1), np.bincount((x >> np.uint64(44)).astype(np.int64), minlength=len(n))
+
+
+def _overlaps(runs: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, at_once: int = 4_000_000) -> np.ndarray:
+    """How many runs the texts of each pair share."""
+    starts, out = np.cumsum(size) - size, np.zeros(len(a), np.int64)
+    upto, at = np.cumsum(size[a] + size[b]), 0
+    while at < len(a):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + at_once)))
+        both = []
+        for x in (a[at:end], b[at:end]):
+            n = size[x]
+            where = np.repeat(starts[x] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both.append(np.repeat(np.arange(end - at, dtype=np.uint64) << np.uint64(44), n) | runs[where])
+        met = np.sort(np.concatenate(both))
+        met = met[1:][met[1:] == met[:-1]]
+        out[at:end] = np.bincount((met >> np.uint64(44)).astype(np.int64), minlength=end - at)
+        at = end
+    return out
+
+
+def similar_pairs(left: Sequence[str], right: Sequence[str], least: float, k: int) -> np.ndarray:
+    """Which pairs of texts are similar. Overlaps are counted on hashes; where
+    three more or less would decide, on the runs themselves."""
+    numbers = {t: i for i, t in enumerate(dict.fromkeys([*left, *right]))}
+    a, b = (np.array([numbers[t] for t in side], np.int64) for side in (left, right))
+    runs, size = _sorted_runs(list(numbers), k)
+    both, total = _overlaps(runs, size, a, b), size[a] + size[b]
+    found = both - 3 >= least * (total - both + 3)
+    for i in np.flatnonzero(~found & (both + 3 >= least * (total - both - 3))):
+        found[i] = jaccard(left[i], right[i], k) >= least
+    return found
+
+
 def _verify(least: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            before, own, keep = None, set(), []
-            for t, u in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                if u != before:
-                    before, own = u, _set(u, k)
-                keep.append(_similar(_set(t, k), own) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found = similar_pairs(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), least, k)
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
     return run
 
@@ -340,7 +377,8 @@ def verified(pairs: DataFrame, sketches: DataFrame, texts: Texts, least: float =
     """The pairs (``a``, ``b``) whose exact similarity is at least ``least``.
     Sketches part most others from them before any text is looked up."""
     if bits:
-        pairs = pairs.join(sketches.toDF("a", "a1", "a2"), "a").join(sketches.toDF("b", "b1", "b2"), "b")
+        # Already apart by b; a, the smaller node, is the one that many pairs of a large region have in common.
+        pairs = pairs.join(sketches.toDF("b", "b1", "b2"), "b").join(sketches.toDF("a", "a1", "a2"), "a")
         pairs = pairs.where(f"bit_count(a1 ^ b1) + bit_count(a2 ^ b2) <= {SKETCH - bits}").select("a", "b")
     near = cut(pairs)
     text = cut(texts.of(near.select(F.col("a").alias("node")).union(near.select("b"))))
@@ -360,9 +398,10 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
     of runs; each link is then checked on the runs themselves.
     """
     reach = 1 - least
-    hashes, size = _distinct_runs(*run_hashes(texts, k))
+    hashes, size = _sorted_runs(texts, k)
     runs = np.unique(hashes, return_inverse=True)[1]
     starts, held = np.cumsum(size) - size, np.zeros(runs.max(initial=0) + 1, np.int32)
+    slack = 6 / size  # equal hashes of different runs may move a distance so far
     parent = {r: r for r in root}
 
     def find(r: int) -> int:
@@ -391,9 +430,9 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
 
     def compare(own: np.ndarray, far: np.ndarray | None) -> None:
         for x, d in enumerate(distances(own, own)):
-            near = (d <= reach + 1e-9) & (np.arange(len(own)) > x)
+            near = (d <= reach + slack[own]) & (np.arange(len(own)) > x)
             if far is not None and near.any():
-                near &= np.abs(far - far[x]).max(1) <= reach + 1e-9
+                near &= (np.abs(far - far[x]) <= reach + slack[own, None]).all(1)
             for j in own[near]:
                 link(own[x], j)
 
@@ -407,9 +446,9 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
             continue
         chosen = np.array(sorted(own, key=lambda i: xxhash.xxh3_64_intdigest(struct.pack("<qq", node[i], len(own))))[:pivots])
         far = np.stack(list(distances(own, chosen)), 1)
-        for x, q in zip(*np.nonzero(far <= reach + 1e-9), strict=True):
+        for x, q in zip(*np.nonzero(far <= reach + slack[own, None]), strict=True):
             link(own[x], chosen[q])
-        inside = far <= far.min(1, keepdims=True) + 2 * reach + 1e-9
+        inside = far <= far.min(1, keepdims=True) + 2 * reach + slack[own, None]
         # Cells that hold more pairs than the region itself don't part it.
         if (inside.sum(0).astype(float) ** 2).sum() >= len(own) ** 2:
             compare(own, far)
@@ -591,7 +630,7 @@ def similar_groups(
     members = met.where(f"kind = {_NODE}").select("field", "id", F.col("a").alias("node"))
     sketches = met.where(f"kind = {_NODE} and (s1 <> 0 or s2 <> 0)").groupBy(F.col("a").alias("node")).agg(F.min("s1").alias("s1"), F.min("s2").alias("s2"))
     look = Texts(texts, fields, members)
-    edges = cut(verified(met.where(f"kind = {_EDGE}").select("a", "b").distinct(), sketches, look, least, k, bits))
+    edges = cut(verified(met.where(f"kind = {_EDGE}").select("a", "b").repartition("b").distinct(), sketches, look, least, k, bits))
     roots = cut(components(edges))
     # What a region's texts are connected to already; those of one root need no more links.
     hot = met.where(f"kind = {_HOT}").select(F.col("a").alias("key"), F.col("b").alias("node"))
