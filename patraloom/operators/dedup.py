@@ -89,7 +89,7 @@ def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots
     slot go along with the bands, so that pairs with too few slots of equal bits,
     which can't have enough equal ones, are dropped as they meet."""
     b, _ = bands_for(threshold, slots)
-    parts = np.array_split(np.arange(slots), b)
+    parts = [np.arange(i, slots, b) for i in range(b)]
     kind = sigs.schema[key].dataType.simpleString()
     words = [f"w{i}" for i in range(2 * -(-slots // 64))]
 
