@@ -200,10 +200,10 @@ def _sign(fields: tuple[str, ...], buckets: int, rows: int, bands: int, k: int,
                         nodes.append(node[long][text])
                         held += len(key)
                     else:
-                        for band in range(bands):
+                        for band in range(bands):  # of values far apart, as near ones aren't quite independent
                             key = np.full(len(long), which * bands + band + 1, np.uint64)
                             for r in range(rows):
-                                key = mixed(key * STEP ^ sig[band * rows + r])
+                                key = mixed(key * STEP ^ sig[r * bands + band])
                             keys.append(key)
                             nodes.append(node[long])
                         held += len(long) * bands
