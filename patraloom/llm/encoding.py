@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ DEFAULT = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts above this many characters are cut before they are encoded.
 LONG = 20_000
+#: Bytes of text that are encoded, and sent on, at once, about.
+BATCH_BYTES = 32_000_000
 #: A character after which the pattern always cuts: a visible one before a
 #: blank, or the change between ASCII letters and digits.
 SAFE = re.compile(r"\S(?=[ \n])|[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
@@ -66,12 +69,27 @@ def texts_of(column: pa.Array) -> Iterator[str | None]:
         yield None if raw is None else raw.decode("utf-8", "replace")
 
 
+def _parts(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts, in the last column, have about ``most``
+    bytes at most, so that long ones neither fill a worker nor the 32 bits of a
+    list's offsets. A text has no more tokens than bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows or not batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right"))) if batch.num_rows else 0
+        yield batch.slice(at, end - at)
+        if not batch.num_rows:
+            break
+        at = end
+
+
 def _over_texts(df: DataFrame, keep: list[str], text: str, out: T.DataType, name: str, make) -> DataFrame:
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(name, out)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], make(batch.columns[-1])], [*keep, name])
+            for part in _parts(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], make(part.columns[-1])], [*keep, name])
 
     return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").cast("binary").alias("the text")).mapInArrow(run, schema)
 

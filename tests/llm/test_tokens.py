@@ -34,6 +34,26 @@ def test_round_trip_and_empty(spark):
     assert token_ids(df.limit(0)).collect() == []
 
 
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from patraloom.llm.encoding import _parts
+
+    texts = [b"x" * 60, None, b"", b"y" * 500, b"z" * 50, b"w" * 50, b"v"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts, pa.binary())], ["i", "t"])
+    parts = list(_parts(batch, 100))
+    assert [p.column(0).to_pylist() for p in parts] == [[0, 1, 2], [3], [4, 5], [6]]
+    assert [p.num_rows for p in _parts(batch.slice(0, 0))] == [0]
+
+
+def test_time_grows_as_the_length(spark):
+    """Half a million characters in one piece list; the parts put the text together."""
+    rng = random.Random(9)
+    text = "".join(rng.choice(["ଘୀହାଚ", "ଧରୌଥଥ", "alpha"]) + rng.choice([" ", ". ", "\n"]) for _ in range(80_000))
+    got = split_texts(spark.createDataFrame([(1, text)], "doc_id long, text string"), overlap=0).orderBy("piece").collect()
+    assert "".join(r.piece_text for r in got) == text and len(got) > 1000
+
+
 def texts():
     rng = random.Random(4)
     words = ["alpha", "beta", "ଘୀହାଚ", "ଧରୌଥଥ", "gamma", "😀", "12"]
