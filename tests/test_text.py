@@ -40,11 +40,13 @@ def test_features(spark):
     r = rows[0]
     assert (r.question_marks, r.exclamations, r.periods, r.commas, r.digits, r.uppercase, r.token_count) == (1, 1, 1, 1, 2, 2, 5)
     assert all(math.isfinite(v) for row in rows for v in row)
+    marked = spark.createDataFrame([("[inst] a",), ("[ଇନ୍ସ୍ଟ] ଅ",), ("<|im_start|>",), ("<<sys>>",)], "t string")
+    assert [x[0] for x in marked.select(X.features("t", F.lit(0.0))["scaffold"]).collect()] == [1, 1, 0, 1]
     s = df.select(*(c.alias(n) for n, c in X.surface_features("t").items())).collect()
     assert len(s[0]) == 10 and s[3].digits == 2 and s[1].mean_word_len == 0
 
 
-@pytest.mark.parametrize("value, mapping, want", [("HATE", None, 1), ("not hate", None, 0), ("Non-Hate", None, 0), ("1", None, 1), ("0.0", None, 0), ("2", None, None), ("offensive", {"offensive": 0}, 0), ("x", None, None), (None, None, None)])
+@pytest.mark.parametrize("value, mapping, want", [("HATE", None, 1), ("not hate", None, 0), ("Non-Hate", None, 0), ("1", None, 1), ("0.0", None, 0), ("2", None, None), ("offensive", {"offensive": 0}, 0), ("hs", None, 1), ("NotHate", None, 0), ("not offensive", None, 0), ("benign", None, None), ("x", None, None), (None, None, None)])
 def test_labels(spark, value, mapping, want):
     assert one(spark, value, lambda c: X.coerced_label(c, mapping)) == want
 
