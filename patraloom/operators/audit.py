@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patraloom.functions.ids import example_id
+
 
 def latest_scores(shards: DataFrame, key: str = "example_id", score: str = "p_hate_raw", at: str = "written_at") -> DataFrame:
     """One score per id: the last written that isn't null (ties: the higher
@@ -111,6 +113,42 @@ def constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(columns), "name", "deviation").withColumn("constant", F.col("deviation") == 0)
 
 
+def id_collisions(df: DataFrame, source: str, doc: str) -> DataFrame:
+    """One row: ids (of source and document) made, distinct ones, and those that
+    different documents share. Rows with a null in either make none."""
+    made = df.select(F.col(source).alias("s"), F.col(doc).cast("string").alias("d")).where("s is not null and d is not null").distinct()
+    per = made.groupBy(example_id("s", "d").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("documents"), F.count(F.lit(1)).alias("ids"), F.count_if(F.col("n") > 1).alias("collisions"))
+
+
+def shard_gaps(shards: DataFrame, expected: DataFrame, shard: str = "shard") -> DataFrame:
+    """Shards whose number of rows isn't the one ``expected`` (``shard``,
+    ``rows``) gives, with both; a shard missing or not expected has 0 there.
+    A table is whole if none comes out."""
+    have = shards.groupBy(shard).agg(F.count(F.lit(1)).alias("found"))
+    both = have.join(expected.select(shard, F.col("rows").alias("wanted")), shard, "full")
+    return both.select(shard, F.coalesce("wanted", F.lit(0)).alias("wanted"), F.coalesce("found", F.lit(0)).alias("found")).where("wanted <> found")
+
+
+class Leak(ValueError):
+    """Something that a model must not see is within its reach."""
+
+
+def forbid(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df``, if it has none of the columns (in any case of letters), else an error."""
+    there = {c.lower() for c in df.columns} & {c.lower() for c in columns}
+    if there:
+        raise Leak(f"columns that a model must not see: {sorted(there)}")
+    return df
+
+
+def check_splits(df: DataFrame, value: str, split: str) -> None:
+    """Raises if two splits share a value."""
+    found = split_overlap(df, value, split).collect()  # one row per pair of splits
+    if found:
+        raise Leak("; ".join(f"{r.split_a} and {r.split_b} share {r.shared}" for r in found))
+
+
 class SchemaMismatch(ValueError):
     """A frame lacks a column or has one of another type."""
 

@@ -24,6 +24,12 @@ def fit(train: DataFrame, text: str, label: str, strength: float = 1.0) -> Pipel
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="vector"), StandardScaler(inputCol="vector", outputCol="scaled", withMean=True), model]).fit(rows.withColumn(label, F.col(label).cast("double")))
 
 
+def coefficients(model: PipelineModel) -> list[tuple[str, float]]:
+    """The features with their coefficients, the strongest first (ties by name)."""
+    names = [c.removeprefix("f_") for c in model.stages[0].getInputCols()]
+    return sorted(zip(names, map(float, model.stages[-1].coefficients), strict=True), key=lambda x: (-abs(x[1]), x[0]))
+
+
 def predict(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
     out = model.transform(with_features(df, text))
     return out.drop("vector", "scaled", "rawPrediction", "probability", *(c for c in out.columns if c.startswith("f_"))).withColumn("prediction", F.col("prediction").cast("int"))

@@ -70,12 +70,13 @@ def rates(cells: DataFrame) -> DataFrame:
 
 def gap(benchmark: DataFrame, native: DataFrame) -> DataFrame:
     """One row from two of confusion counts: how much of the drop in macro F1
-    is due to prevalence, and how much to behaviour."""
+    is due to prevalence, and how much to behaviour. Nulls where a side has no rows."""
     b, m = rates(metrics_of(benchmark)), metrics_of(native)
-    b = b.select(F.col("macro_f1").alias("benchmark_f1"), F.col("tpr").alias("b_tpr"), F.col("fpr").alias("b_fpr"))
-    m = m.select(F.col("macro_f1").alias("native_f1"), F.col("gold_rate").alias("native_prevalence"))
+    some = lambda c: F.when(F.col("n") > 0, F.col(c))
+    b = b.select(some("macro_f1").alias("benchmark_f1"), some("tpr").alias("b_tpr"), some("fpr").alias("b_fpr"))
+    m = m.select(some("macro_f1").alias("native_f1"), some("gold_rate").alias("native_prevalence"))
     both = F.broadcast(b).crossJoin(m)  # one row each
-    expected = expected_macro_f1(F.col("native_prevalence"), F.col("b_tpr"), F.col("b_fpr"))
+    expected = F.when(F.col("benchmark_f1").isNotNull() & F.col("native_f1").isNotNull(), expected_macro_f1(F.col("native_prevalence"), F.col("b_tpr"), F.col("b_fpr")))
     return both.withColumn("expected_f1", expected).select(
         "benchmark_f1", "native_f1", "expected_f1",
         (F.col("benchmark_f1") - F.col("native_f1")).alias("total_gap"), (F.col("benchmark_f1") - F.col("expected_f1")).alias("prevalence_gap"), (F.col("expected_f1") - F.col("native_f1")).alias("behaviour_gap"),
@@ -115,31 +116,12 @@ def confidence(df: DataFrame, correct: str, prob: str, sure: float = 0.9) -> Dat
     return df.agg(F.avg(F.when(ok, top)).alias("mean_when_right"), F.avg(F.when(~ok, top)).alias("mean_when_wrong"), F.count_if(~ok & (top > sure)).alias("confident_errors"))
 
 
-def bootstrap(df: DataFrame, gold: str, pred: str, replicates: int = 2000, salt: str = "boot") -> DataFrame:
-    """``replicate`` (from 0), its four confusion counts and ``macro_f1``.
-
-    A resample changes nothing but the four counts: each of its ``n`` draws
-    falls into a cell by where a hash of replicate and slot lies among the
-    cells' cumulative shares. That is resampling with replacement without
-    moving a row; the draws are counted before they are shuffled."""
-    cells = confusion(df, gold, pred)
-    n = F.expr("tn + fp + fn + tp")
-    # One row; its draws are ranges, made where they are counted.
-    reps = df.sparkSession.range(replicates).withColumnRenamed("id", "replicate").crossJoin(F.broadcast(cells)).where(n > 0)
-    slots = reps.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    u = unit_fraction(F.concat_ws(":", F.col("replicate"), F.col("slot")), salt) * n
-    tn, fp, fn = F.col("tn"), F.col("fp"), F.col("fn")
-    drawn = slots.withColumn("u", u).groupBy("replicate").agg(
-        F.count_if(F.col("u") < tn).alias("tn"), F.count_if((F.col("u") >= tn) & (F.col("u") < tn + fp)).alias("fp"),
-        F.count_if((F.col("u") >= tn + fp) & (F.col("u") < tn + fp + fn)).alias("fn"), F.count_if(F.col("u") >= tn + fp + fn).alias("tp"),
-    )
-    return metrics_of(drawn).select("replicate", "tn", "fp", "fn", "tp", "macro_f1")
-
-
 def resamples(df: DataFrame, gold: str, pred: str, replicates: int = 2000, seed: int = 42) -> DataFrame:
-    """Like :func:`bootstrap`, with the four counts of a replicate drawn at once
-    from their multinomial distribution, so that its cost doesn't grow with the
-    rows. A replicate's draw depends on ``seed`` and its number only."""
+    """The bootstrap: ``replicate`` (from 0), its four confusion counts and
+    ``macro_f1``. Resampling with replacement changes nothing but the four
+    counts, so they are drawn at once from their multinomial distribution, and
+    the cost doesn't grow with the rows. A draw depends on ``seed`` and the
+    replicate's number only."""
     cells = confusion(df, gold, pred)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,14 +141,26 @@ def interval(replicates: DataFrame, value: str = "macro_f1", level: float = 0.95
     return replicates.agg(F.percentile(value, F.lit(q)).alias("low"), F.percentile(value, F.lit(1 - q)).alias("high"))
 
 
-def floors(df: DataFrame, key: str, gold: str, salt: str = "rand") -> DataFrame:
-    """Macro F1 of always 1, always 0, the majority, and a coin, as ``floor``, ``macro_f1``."""
-    coin = (unit_fraction(key, salt) < 0.5).cast("int")
-    out = None
-    for name, p in (("always_1", F.lit(1)), ("always_0", F.lit(0)), ("random", coin)):
-        one = metrics(df.withColumn("_p", p), gold, "_p").select(F.lit(name).alias("floor"), "macro_f1")
-        out = one if out is None else out.unionByName(one)
-    return out
+def floors(df: DataFrame, key: str, gold: str, salt: str = "rand", draws: int = 25) -> DataFrame:
+    """``floor``, ``macro_f1`` of always 1, always 0, the more frequent label (0
+    on a tie), and a coin, as the mean of ``draws`` (up to 64) throws. A row's
+    throws are the hexadecimal digits of its key's SHA-256, heads from 8 up."""
+    digits = F.sha2(F.concat(F.lit(f"{salt}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
+    g, heads = F.col(gold), [F.substring(F.col("_d"), i + 1, 1) >= "8" for i in range(draws)]
+    pos, neg = F.count_if(g == 1).alias("pos"), F.count_if(g == 0).alias("neg")
+    thrown = [f(c).alias(f"{n}{i}") for i, h in enumerate(heads) for n, f, c in (("tp", F.count_if, (g == 1) & h), ("fp", F.count_if, (g == 0) & h))]
+    counts = df.select(g, digits.alias("_d")).agg(pos, neg, *thrown)
+    cell = lambda name, tp, fp: F.struct(F.lit(name).alias("floor"), tp.cast("long").alias("tp"), fp.cast("long").alias("fp"))
+    p, n, zero = F.col("pos"), F.col("neg"), F.lit(0)
+    cells = [cell("always_1", p, n), cell("always_0", zero, zero), cell("majority", F.when(p > n, p).otherwise(0), F.when(p > n, n).otherwise(0))]
+    cells += [cell("random", F.col(f"tp{i}"), F.col(f"fp{i}")) for i in range(draws)]
+    each = counts.select("pos", "neg", F.inline(F.array(*cells))).select("floor", (n - F.col("fp")).alias("tn"), "fp", (p - F.col("tp")).alias("fn"), "tp")
+    return metrics_of(each).groupBy("floor").agg(F.avg("macro_f1").alias("macro_f1"))
+
+
+def covered(macro_f1: Column, chance: Column, target: Column) -> Column:
+    """The share of the way from chance to a target that a score covers; null where they are equal."""
+    return F.try_divide(macro_f1 - chance, target - chance)
 
 
 def kappa(df: DataFrame, a: str, b: str) -> DataFrame:

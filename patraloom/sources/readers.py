@@ -80,6 +80,14 @@ def missing_sources(found: Iterable[str], wanted: Iterable[str]) -> tuple[list[s
     return sorted(w - f), sorted(f - w)
 
 
+def list_tables(spark: SparkSession, root: str) -> list[str]:
+    """The names of the Parquet tables (files or folders) in a folder of any file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = [f.getPath().getName() for f in found]
+    return sorted(n.removesuffix(".parquet") for n in names if n.endswith(".parquet"))
+
+
 def cached_rows(spark: SparkSession, path: str) -> int | None:
     """Rows of a table that was written before, from its footers; null if there is none."""
     try:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +35,11 @@ def append_shard(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("compression", "zstd").parquet(path)
 
 
-def write_annotation(df: DataFrame, path: str, columns: Sequence[str], key: str = "example_id", seed: int = 42) -> None:
-    """A CSV for people, without labels and scores, in hash order."""
+def write_annotation(df: DataFrame, path: str, columns: Sequence[str], key: str = "example_id", seed: int = 42, most: int = 100_000) -> None:
+    """A CSV for people, without labels and scores, in hash order. It is one
+    file, so more than ``most`` rows are an error."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows to annotate")
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key)), 256)
     out = df.select(*columns, order.alias("_o")).orderBy("_o").drop("_o").withColumn("human_label", F.lit("")).withColumn("notes", F.lit(""))
     out.coalesce(1).write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)  # a sample a person reads
@@ -53,7 +60,27 @@ def upsert_stage(path: str, stage: str, rows_in: int, rows_out: int, dropped: di
     return held[stage]
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """``path``, ``bytes``, ``sha256`` of every file below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def manifest(spark: SparkSession, path: str, config: object = None, seed: int | None = None) -> DataFrame:
+    """``path``, ``bytes``, ``sha256`` and ``rows`` (of Parquet files, else null)
+    of every file below a folder, with ``config_sha256`` and ``seed`` of the run.
+
+    Files are read in their task bit by bit, whatever their size; rows come from
+    the footers. The folder must be one that the executors' file systems see."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("bytes"))
+    digest = None if config is None else hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, rows = [], []
+            for name in batch.column(0).to_pylist():
+                system, where = pafs.FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file:///") else name)
+                h = hashlib.sha256()
+                with system.open_input_stream(where) as f:
+                    while block := f.read(1 << 22):
+                        h.update(block)
+                hashes.append(h.hexdigest())
+                rows.append(pq.ParquetFile(system.open_input_file(where)).metadata.num_rows if name.endswith(".parquet") else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.string()), pa.array(rows, pa.int64())], ["path", "bytes", "sha256", "rows"])
+
+    made = files.mapInArrow(run, "path string, bytes long, sha256 string, rows long")
+    return made.withColumn("config_sha256", F.lit(digest).cast("string")).withColumn("seed", F.lit(seed).cast("long"))

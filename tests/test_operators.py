@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,28 +85,62 @@ def test_kappa(spark):
     assert k([(1, 1)] * 4).kappa is None and k([(1, None)]).n is None
 
 
-def test_bootstrap(spark):
-    rows = [(1, 1)] * 40 + [(0, 0)] * 40 + [(1, 0)] * 10 + [(0, 1)] * 10
-    df = spark.createDataFrame(rows, "g int, p int")
-    b = metrics.bootstrap(df, "g", "p", 200)
-    assert b.where("tn + fp + fn + tp = 100").count() == 200
-    i = metrics.interval(b).first()
-    assert i.low < 0.8 < i.high and i.high - i.low < 0.25
-    assert metrics.bootstrap(df.repartition(7), "g", "p", 20).exceptAll(b).count() == 0
-
-
 def test_resamples(spark):
     df = spark.createDataFrame([(1, 1)] * 40 + [(0, 0)] * 40 + [(1, 0)] * 10 + [(0, 1)] * 10, "g int, p int")
     b = metrics.resamples(df, "g", "p").cache()
     assert b.count() == b.where("tn + fp + fn + tp = 100").count() == 2000
     mean = b.agg(*(F.avg(c) for c in ("tn", "fp", "fn", "tp"))).first()
     assert all(abs(x - y) < 0.5 for x, y in zip(mean, (40, 10, 10, 40)))
-    i, slots = metrics.interval(b).first(), metrics.interval(metrics.bootstrap(df, "g", "p")).first()
-    assert abs(i.low - slots.low) < 0.02 and abs(i.high - slots.high) < 0.02
+    # Row by row: 2000 resamples of the hundred rows themselves.
+    rng, truth = np.random.default_rng(1), np.repeat([0, 1, 2, 3], [40, 10, 10, 40])
+    f1 = []
+    for _ in range(2000):
+        tn, fp, fn, tp = np.bincount(rng.choice(truth, 100), minlength=4)
+        f1.append((2 * tp / (2 * tp + fp + fn) + 2 * tn / (2 * tn + fp + fn)) / 2)
+    i, slots = metrics.interval(b).first(), np.quantile(f1, [0.025, 0.975])
+    assert abs(i.low - slots[0]) < 0.02 and abs(i.high - slots[1]) < 0.02
     assert metrics.resamples(df.repartition(7), "g", "p").exceptAll(b).count() == 0
     assert metrics.resamples(df.limit(0), "g", "p").count() == 0
 
 
+def test_floors(spark):
+    df = spark.createDataFrame([(str(i), int(i < 300)) for i in range(1000)] + [("x", None)], "k string, g int")
+    f = {r.floor: r.macro_f1 for r in metrics.floors(df, "k", "g").collect()}
+    assert set(f) == {"always_1", "always_0", "majority", "random"}
+    assert f["majority"] == f["always_0"] == pytest.approx(1400 / 1700 / 2) and f["always_1"] == pytest.approx(600 / 1300 / 2)
+    assert abs(f["random"] - 0.48) < 0.02
+    assert {r.macro_f1 for r in metrics.floors(df.limit(0), "k", "g").collect()} == {0.0}
+    c = lambda *x: spark.range(1).select(metrics.covered(*map(F.lit, x)).alias("c")).first().c
+    assert c(0.7, 0.5, 0.9) == pytest.approx(0.5) and c(0.7, 0.5, 0.5) is None
+
+
+def test_gap_without_rows(spark):
+    b = spark.createDataFrame([(5, 1, 1, 5)], "tn long, fp long, fn long, tp long")
+    g = metrics.gap(b, b.select(*(F.lit(0).cast("long").alias(c) for c in b.columns))).first()
+    assert g.benchmark_f1 and g.native_f1 is None and g.total_gap is None and g.behaviour_gap is None
+
+
+def test_guards(spark):
+    pairs = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1"), (None, "2")], "s string, d string")
+    assert tuple(audit.id_collisions(pairs, "s", "d").first()) == (2, 2, 0)
+    shards = spark.createDataFrame([(0,), (0,), (1,), (3,)], "shard int")
+    gaps = audit.shard_gaps(shards, spark.createDataFrame([(0, 2), (1, 2), (2, 1)], "shard int, rows long"))
+    assert {tuple(r) for r in gaps.collect()} == {(1, 2, 1), (2, 1, 0), (3, 0, 1)}
+    with pytest.raises(audit.Leak):
+        audit.forbid(pairs.withColumn("Text_Eng", F.lit("")), ["text_eng"])
+    assert audit.forbid(pairs, ["text_eng"]) is pairs
+    rows = spark.createDataFrame([("x", "train"), ("x", "test"), ("y", "test"), (None, "train")], "t string, part string")
+    with pytest.raises(audit.Leak):
+        audit.check_splits(rows, "t", "part")
+    audit.check_splits(rows.where("t = 'y'"), "t", "part")
+
+
+def test_label_columns_are_tried_in_order(spark):
+    df = spark.createDataFrame([("x", 1, 0, 1)], "text string, hate int, class int, Final_Label int")
+    assert native.label_column(df) == "class" and native.label_column(df.drop("class")) == "hate"
+    assert native.label_column(df.drop("class", "hate")) == "Final_Label"
+
+
 def test_quotas():
     assert sampling.largest_remainder({"a": 70.5, "b": 12.4, "c": 17.1}, 100) == {"a": 71, "b": 12, "c": 17}
     assert sampling.largest_remainder({"a": 1}, 0) == {"a": 0}

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -25,8 +26,12 @@ def test_release_round_trip(spark, tmp_path):
     assert back.select(df.columns).exceptAll(df).count() == 0 and back.where("split = 'train'").count() == 1
     lines = [line for f in (tmp_path / "v/json/split=train").glob("*.json") for line in f.read_text(encoding="utf-8").splitlines()]
     assert json.loads(lines[0]) == {"example_id": "2", "label": None, "text_ory": "b"}
-    m = sinks.manifest(spark, str(tmp_path / "v/parquet")).collect()
-    assert m and all(len(r.sha256) == 64 for r in m)
+    m = {r.path.rpartition("v/parquet/")[2]: r for r in sinks.manifest(spark, str(tmp_path / "v/parquet"), {"a": 1}, 42).collect()}
+    assert m
+    for name, r in m.items():
+        raw = (tmp_path / "v/parquet" / name).read_bytes()
+        assert (r.sha256, r.bytes, r.seed, len(r.config_sha256)) == (hashlib.sha256(raw).hexdigest(), len(raw), 42, 64)
+    assert sum(r.rows or 0 for r in m.values()) == 2
 
 
 def test_splits_and_shards(spark, tmp_path):
@@ -43,6 +48,9 @@ def test_splits_and_shards(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.find_root("NO_SUCH_VARIABLE", None, [], ["v"])
     sinks.write_annotation(df.withColumn("example_id", F.lit("1")), str(tmp_path / "csv"), ["example_id", "text_ory"])
+    with pytest.raises(ValueError):
+        sinks.write_annotation(df.withColumn("example_id", F.lit("1")), str(tmp_path / "csv2"), ["example_id"], most=1)
+    assert readers.list_tables(spark, str(tmp_path / "v")) == ["bad", "test"]
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns == ["example_id", "text_ory", "human_label", "notes"]
 
 
