@@ -18,38 +18,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def pair_records(spark: SparkSession, folder: str) -> DataFrame:
-    """``pairs`` with repeated rows once."""
-    return table(spark, folder, "pairs").distinct()
+def _records(spark: SparkSession, folder: str, name: str, columns: tuple[str, ...]) -> DataFrame:
+    return table(spark, folder, name).select("example_id", *columns).distinct()
 
 
-def release_records(spark: SparkSession, folder: str) -> DataFrame:
-    """``release`` with repeated rows once (a NaN equals a NaN)."""
-    return table(spark, folder, "release").distinct()
+def pair_records(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """``pairs`` with repeated rows once, as ``example_id`` and the columns
+    asked for: repeated rows are exact copies, so the others need not be read."""
+    return _records(spark, folder, "pairs", columns)
 
 
-def scored(spark: SparkSession, folder: str) -> DataFrame:
+def release_records(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """``release`` likewise."""
+    return _records(spark, folder, "release", columns)
+
+
+def scored(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Records with their last score, rounded, and label."""
     scores = audit.latest_scores(table(spark, folder, "score_shards"))
-    out = audit.attach_scores(pair_records(spark, folder), scores)
+    out = audit.attach_scores(pair_records(spark, folder, *columns), scores)
     return out.withColumn("p_hate", rounded("p_hate_raw")).withColumn("label", band("p_hate"))
 
 
-def labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return scored(spark, folder).where("label is not null")
-
-
 def with_split(df: DataFrame, key: str = "example_id", name: str = "part") -> DataFrame:
     return df.withColumn(name, assign_split(key, SPLITS, SALT))
 
 
-def predictions(spark: SparkSession, folder: str) -> DataFrame:
+def predictions(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Gold labels of the release and a stand-in model's predictions: the label,
-    turned around for about 15 % of the records."""
-    r = release_records(spark, folder).where("label is not null")
+    turned around for about 15 % of the records. With ``text_eng`` among the
+    columns also ``question`` and ``char_len``."""
+    r = release_records(spark, folder, "label", *columns).where("label is not null")
     wrong = unit_fraction("example_id", "pred") < 0.15
     r = r.withColumn("gold", F.col("label").cast("int")).withColumn("pred", F.when(wrong, 1 - F.col("gold")).otherwise(F.col("gold")))
-    return r.withColumns({
+    r = r.withColumns({
         "prob_hate": F.when(F.col("pred") == 1, 0.5 + unit_fraction("example_id", "prob") / 2).otherwise(unit_fraction("example_id", "prob") / 2),
-        "correct": F.col("gold") == F.col("pred"), "question": is_question("text_eng"), "char_len": F.length("text_eng"),
+        "correct": F.col("gold") == F.col("pred"),
     })
+    return r.withColumns({"question": is_question("text_eng"), "char_len": F.length("text_eng")}) if "text_eng" in columns else r

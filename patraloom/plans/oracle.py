@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from patraloom.functions.text import BLANK, LABEL_NAMES, SCAFFOLD, ZERO_WIDTH, ZERO_WIDTH_EVAL
-
+# The values below are written out again: these queries check those of the library.
+BLANK = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+ZERO_WIDTH_EVAL = "\u200b\u200c\u200d\u200e\u200f\ufeff"
+ZERO_WIDTH = ZERO_WIDTH_EVAL + "\u00ad"
 ODIA = r"[\x{0B00}-\x{0B7F}]"
 
 
@@ -105,7 +107,7 @@ def _representatives(source: str, group: str) -> str:
     return f"""cells AS (SELECT {group}, label, source_config, count(*) AS n, min(example_id) AS first FROM {source} GROUP BY ALL),
 low AS (SELECT *, min(first) OVER (PARTITION BY {group}) AS lowest, sum(n) OVER (PARTITION BY {group})::BIGINT AS cluster_size, count(*) OVER (PARTITION BY {group}) AS cells FROM cells),
 reps AS (SELECT {group}, first AS example_id, label, source_config, cluster_size, cells FROM low
-    QUALIFY row_number() OVER (PARTITION BY {group} ORDER BY n DESC, first <> lowest, label, source_config) = 1)"""
+    QUALIFY row_number() OVER (PARTITION BY {group} ORDER BY n DESC, first <> lowest, label NULLS FIRST, source_config NULLS FIRST) = 1)"""
 
 
 def _draw(source: str, group: str, key: str, quotas: str, seed: str = "42") -> str:
@@ -132,14 +134,15 @@ FEATURES = {
     "mean_word_length": _r(f"coalesce(list_sum(list_transform({_words('t')}, lambda w: length(w)))::DOUBLE / nullif(length({_words('t')}), 0), 0)"),
     "question_marks": _count("t", r"\?"), "exclamations": _count("t", "!"), "periods": _count("t", r"\."), "commas": _count("t", ","),
     "digits": _count("t", r"\p{Nd}"), "uppercase": _count("t", r"\p{Lu}"), "purity": _r(_purity("t")),
-    "scaffold": "regexp_matches(t, '" + SCAFFOLD + "')::INT",
+    "scaffold": "(contains(lower(t), '<s>') OR contains(lower(t), '[inst]') OR contains(t, '[ଇନ୍ସ୍ଟ]') OR contains(lower(t), '<<sys>>'))::INT",
 }
 SURFACE = {
     "char_len": "length(t)", "token_count": f"length({_words('t')})", "question_marks": _count("t", r"\?"), "exclamations": _count("t", "!"), "commas": _count("t", ","), "periods": _count("t", r"\."),
     "digits": _count("t", r"\p{Nd}"), "uppercase_latin": _count("t", "[A-Z]"), "odia_ratio": _r(f"{_count('t', ODIA)}::DOUBLE / greatest(length(t), 1)"),
     "mean_word_len": _r(f"length(t)::DOUBLE / greatest(length({_words('t')}), 1)"),
 }
-NAMES = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in LABEL_NAMES.items()) + "}"
+ONES = "'hate', 'hateful', 'hate_speech', 'hs', 'yes', '1', 'true', 'offensive', 'toxic', 'abusive'"
+ZEROS = "'non_hate', 'nonhate', 'not_hate', 'nothate', 'none', 'no', '0', 'false', 'normal', 'neutral', 'clean', 'not_offensive', 'non-hate', 'not-hate'"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -180,7 +183,7 @@ def oracle_sql() -> dict[str, str]:
         "f16_is_question": "SELECT example_id, coalesce(regexp_matches(text_eng, '[?？]'), false) AS question FROM pairs",
         "f17_features": f"{features} SELECT * FROM f",
         "f18_surface_features": f"SELECT example_id, {columns(SURFACE)} FROM (SELECT example_id, text_ory AS t FROM pairs WHERE text_ory IS NOT NULL)",
-        "f19_coerced_label": f"WITH {RELEASE} SELECT example_id, CASE WHEN try_cast(raw AS DOUBLE) = 1 THEN 1 WHEN try_cast(raw AS DOUBLE) = 0 THEN 0 WHEN try_cast(raw AS DOUBLE) IS NULL THEN {NAMES}[regexp_replace(lower(trim(raw)), '[ \\-]+', '_', 'g')] END AS label FROM (SELECT example_id, coalesce(lower(label_str), label::VARCHAR) AS raw FROM rel)",
+        "f19_coerced_label": f"WITH {RELEASE} SELECT example_id, CASE WHEN try_cast(raw AS DOUBLE) = 1 THEN 1 WHEN try_cast(raw AS DOUBLE) = 0 THEN 0 WHEN name IN ({ONES}) THEN 1 WHEN name IN ({ZEROS}) THEN 0 END AS label FROM (SELECT example_id, raw, replace(lower(trim(raw)), ' ', '_') AS name FROM (SELECT example_id, coalesce(lower(label_str), label::VARCHAR) AS raw FROM rel))",
         "f20_length_sides": f"WITH {_gates(False, '(SELECT example_id, text_eng, text_ory FROM rejects)')} SELECT length_sides, count(*) AS n FROM gated WHERE length_sides <> '' GROUP BY 1",
         "f22_yield_verdict": f"WITH {SCORED} SELECT source_config, count(*) AS n, CASE WHEN count(*) >= 10000 THEN 'FINE' WHEN count(*) >= 2000 THEN 'WORKABLE' ELSE 'STOP' END AS verdict FROM scored WHERE label IS NOT NULL GROUP BY 1",
         "f24_expected_macro_f1": f"WITH {PREDICTED}, c AS ({_cells('predictions', 'source_config')}), r AS (SELECT source_config, {R1} AS tpr, {_div('fp', 'fp + tn')} AS fpr, {_div('tp + fn', 'tn + fp + fn + tp')} AS prevalence FROM c) SELECT source_config, {_r('tpr')} AS tpr, {_r('fpr')} AS fpr, {_r('prevalence')} AS prevalence, {_r('(tpr + 1 - fpr) / 2')} AS balanced_accuracy, {_r(_expected('0.01::DOUBLE', 'tpr', 'fpr'))} AS expected FROM r",
@@ -229,14 +232,14 @@ def oracle_sql() -> dict[str, str]:
         "a20_orientation": f"WITH {SUITE}, s AS (SELECT avg(score) FILTER (tier = 'clear_hate') AS mean_hate, avg(score) FILTER (tier = 'clear_benign') AS mean_benign, min(score) FILTER (tier = 'clear_hate') AS min_hate, max(score) FILTER (tier = 'clear_benign') AS max_benign FROM items) SELECT {_r('mean_hate')} AS mean_hate, {_r('mean_benign')} AS mean_benign, {_r('min_hate')} AS min_hate, {_r('max_benign')} AS max_benign, coalesce(mean_hate - mean_benign > 0.5 AND min_hate > max_benign, false) AS oriented FROM s",
         "a21_pinned": f"WITH {SUITE}, s AS (SELECT tier, count(*) AS n, min(score) AS lowest, max(score) AS highest FROM items WHERE NOT coalesce(documented_failure, false) GROUP BY 1) SELECT *, CASE tier WHEN 'clear_hate' THEN lowest >= 0.7::DOUBLE WHEN 'clear_benign' THEN highest <= 0.3::DOUBLE WHEN 'hard_negative' THEN highest <= 0.2::DOUBLE END AS passed FROM s",
         "a22_alignment": "SELECT count(*) AS rows, count(DISTINCT doc_id) AS unique_docs, count(doc_id) - count(DISTINCT doc_id) AS repeated_docs, count(*) FILTER (coalesce(length(eng_latn), 0) <> coalesce(length(ory_orya), 0)) AS turn_mismatches FROM raw_conversations",
+        "a22_collisions": "WITH m AS (SELECT DISTINCT source_config, doc_id FROM pairs WHERE source_config IS NOT NULL AND doc_id IS NOT NULL), p AS (SELECT substr(sha256(source_config || '|' || doc_id), 1, 16) AS id, count(*) AS n FROM m GROUP BY 1) SELECT coalesce(sum(n), 0)::BIGINT AS documents, count(*) AS ids, count(*) FILTER (n > 1) AS collisions FROM p",
         "a22_turn_histogram": "SELECT CASE WHEN num_turns IS NULL OR isnan(num_turns) THEN -1 ELSE trunc(num_turns)::INT END AS turns, count(*) AS n FROM raw_conversations GROUP BY 1",
-        "a23_length_profile": f"SELECT source, {_r('avg(n_chars)')} AS mean, max(n_chars) AS max, {over}, {percentiles} FROM documents WHERE source IS NOT NULL GROUP BY 1",
-        "a24_bootstrap": f"WITH {PREDICTED}, c AS ({_cells('predictions')}), d AS (SELECT replicate, c.*, {_unit('replicate || chr(58) || slot', 'boot')} * (tn + fp + fn + tp) AS u FROM c CROSS JOIN range(50) r(replicate) CROSS JOIN range((SELECT count(*) FROM predictions)) s(slot)), k AS (SELECT replicate, count(*) FILTER (u < tn) AS tn, count(*) FILTER (u >= tn AND u < tn + fp) AS fp, count(*) FILTER (u >= tn + fp AND u < tn + fp + fn) AS fn, count(*) FILTER (u >= tn + fp + fn) AS tp FROM d GROUP BY 1) SELECT replicate, tn, fp, fn, tp, {_r(MACRO)} AS macro_f1 FROM k",
-        "a25_floors": f"WITH {PREDICTED}, v AS (SELECT gold, unnest([{{'floor': 'always_1', 'p': 1}}, {{'floor': 'always_0', 'p': 0}}, {{'floor': 'random', 'p': ({_unit('example_id', 'rand')} < 0.5::DOUBLE)::INT}}]) AS x FROM predictions), w AS (SELECT gold, x.floor AS floor, x.p AS p FROM v), c AS ({_cells('w', 'floor', 'p')}) SELECT floor, {_r(MACRO)} AS macro_f1 FROM c",
+        "a23_length_profile": f"SELECT source, {_r('avg(n_chars)')} AS mean, max(n_chars) AS max, {over}, {percentiles} FROM documents GROUP BY 1",
+        "a25_floors": f"WITH {PREDICTED}, k AS (SELECT gold, sha256('rand:' || example_id) AS d, (SELECT count(*) FILTER (gold = 1) > count(*) FILTER (gold = 0) FROM predictions) AS more FROM predictions), v AS (SELECT 'always_1' AS floor, -1 AS i, gold, 1 AS p FROM k UNION ALL SELECT 'always_0', -1, gold, 0 FROM k UNION ALL SELECT 'majority', -1, gold, more::INT FROM k UNION ALL SELECT 'random', i, gold, (substr(d, i + 1, 1) >= '8')::INT FROM k CROSS JOIN range(25) r(i)), c AS ({_cells('v', 'floor, i', 'p')}) SELECT floor, {_r(f'avg({MACRO})')} AS macro_f1 FROM c GROUP BY 1",
         "a26_question_rule": f"WITH {PREDICTED}, w AS (SELECT gold, CASE WHEN question THEN 0 ELSE 1 END AS rule FROM predictions), c AS ({_cells('w', '', 'rule')}) SELECT {ALL_METRICS} FROM c",
         "a27_probe": f"WITH {SUITE}, s AS (SELECT avg(score) AS m, max(score) AS x, count(*) AS n, count(*) FILTER (score >= 0.5::DOUBLE) AS a, count(*) FILTER (score >= 0.9::DOUBLE) AS b FROM items WHERE tier = 'question_form') SELECT {_r('m')} AS mean, {_r('x')} AS max, n, a AS from_50, b AS from_90, CASE WHEN m >= 0.5 THEN 'responds' WHEN x >= 0.5 THEN 'responds to some' ELSE 'does not respond' END AS reading FROM s",
         "a28_label_counts": f"WITH {RELEASE} SELECT label, count(*) AS n FROM rel WHERE {_split('example_id')} = 'train' GROUP BY 1",
-        "a29_funnel": f"""WITH {SCORED}, {_gates(False, 'scored')}, k AS (SELECT * FROM gated WHERE reason IS NULL), l AS (SELECT * FROM k WHERE label IS NOT NULL AND source_config IS NOT NULL),
+        "a29_funnel": f"""WITH {SCORED}, {_gates(False, 'scored')}, k AS (SELECT * FROM gated WHERE reason IS NULL), l AS (SELECT * FROM k WHERE label IS NOT NULL),
             n AS (SELECT (SELECT count(*) FROM gated) AS a, (SELECT count(*) FROM k) AS b, (SELECT count(*) FROM l) AS c, (SELECT count(DISTINCT {_norm('text_ory')}) FROM l) AS d)
             SELECT 0 AS step, 'gates' AS stage, a AS rows_in, b AS rows_out, a - b AS dropped, true AS chained FROM n UNION ALL SELECT 1, 'bands', b, c, b - c, true FROM n UNION ALL SELECT 2, 'duplicates', c, d, c - d, true FROM n""",
         "a30_gap": f"""WITH {PREDICTED}, o AS (SELECT * FROM predictions WHERE NOT gold = 1 OR {_unit('example_id', 'native')} < 0.05::DOUBLE),
@@ -248,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
         "w3_downsample": f"WITH d AS (SELECT doc_id, source FROM documents WHERE source IS NOT NULL), q AS (SELECT source, ceil(count(*) / 3)::BIGINT AS quota FROM d GROUP BY 1) SELECT source, doc_id FROM {_draw('d', 'source', 's.doc_id', 'q')}",
         "w4_stratified_sample": f"WITH d AS (SELECT doc_id, source FROM documents WHERE source IS NOT NULL), c AS (SELECT source, count(*) AS n FROM d GROUP BY 1), q AS (SELECT source, least(quota, n) AS quota FROM {_remainder('c', 'source', '300')}) SELECT source, doc_id FROM {_draw('d', 'source', 's.doc_id', 'q')}",
         "w5_agreement_sample": f"WITH {RELEASE}, " + ", ".join(f"d{y} AS (SELECT example_id, label, source_config FROM rel WHERE label = {y} AND source_config IS NOT NULL), c{y} AS (SELECT source_config, count(*) AS n FROM d{y} GROUP BY 1), q{y} AS (SELECT source_config, least(quota, n) AS quota FROM {_remainder(f'c{y}', 'source_config', f'(SELECT least(100, count(*)) FROM d{y})')})" for y in (1, 0)) + " " + " UNION ALL ".join(f"SELECT example_id, label, source_config FROM {_draw(f'd{y}', 'source_config', 's.example_id', f'q{y}', f'42:{y}')}" for y in (1, 0)),
-        "w6_representatives": f"WITH {GROUPED}, k AS (SELECT * FROM grouped WHERE label IS NOT NULL AND source_config IS NOT NULL), {_representatives('k', 'g')} SELECT * FROM reps",
+        "w6_representatives": f"WITH {GROUPED}, k AS (SELECT * FROM grouped WHERE label IS NOT NULL), {_representatives('k', 'g')} SELECT * FROM reps",
         "w7_review_sample": f"WITH d AS (SELECT DISTINCT example_id, reason FROM rejects WHERE example_id IS NOT NULL AND reason IS NOT NULL), q AS (SELECT DISTINCT reason, 5 AS quota FROM d) SELECT reason, example_id FROM {_draw('d', 'reason', 's.example_id', 'q')}",
         "w8_balance": f"WITH {BALANCE_QUOTA}, q AS {_remainder('oc', 'source_config', '(SELECT count(*) FROM hate)')} SELECT example_id, label, source_config FROM hate UNION ALL SELECT example_id, label, source_config FROM {_draw('other', 'source_config', 's.example_id', 'q')}",
         "w8_balance_match_minority": match,
@@ -261,6 +264,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT x AS example_id, min(y) AS root FROM r GROUP BY 1""",
         "m2_scored_texts": "SELECT example_id, round((length(regexp_replace(text_eng, '[^A-Z]', '', 'g'))::DOUBLE / greatest(length(text_eng), 1))::FLOAT::DOUBLE, 5) AS score FROM pairs WHERE text_eng IS NOT NULL",
         "n1_text_scores": " UNION ALL ".join(f"SELECT '{c}' AS name, {_r(f'100 * coalesce(avg(CASE WHEN length({c}) > 0 THEN {_count(c, ODIA)}::DOUBLE / length({c}) END), 0) + least(coalesce(avg(length({c})), 0), 200) / 200', 4)} AS score FROM pairs" for c in ("example_id", "doc_id", "source_config", "text_eng", "text_ory")),
-        "slice_three_way": f"""WITH {SCORED}, {_gates(False, 'scored')}, k AS (SELECT *, sha256({_norm('text_ory')}) AS dedup_group FROM gated WHERE reason IS NULL AND label IS NOT NULL AND source_config IS NOT NULL),
+        "slice_three_way": f"""WITH {SCORED}, {_gates(False, 'scored')}, k AS (SELECT *, sha256({_norm('text_ory')}) AS dedup_group FROM gated WHERE reason IS NULL AND label IS NOT NULL),
             {_representatives('k', 'dedup_group')} SELECT {_split('dedup_group')} AS part, label, source_config, count(*) AS n, sum(cluster_size)::BIGINT AS rows FROM reps GROUP BY ALL""",
     }

@@ -22,11 +22,11 @@ class Curated:
 
 
 def curate(spark: SparkSession, folder: str) -> Curated:
-    """Gate, attach scores, band, remove exact duplicates, split by group.
-    Records without a source are dropped with those that have no label."""
-    gated = gates.gate_texts(frames.scored(spark, folder))
+    """Gate, attach scores, band, remove exact duplicates, split by group. A null
+    source is a source of its own."""
+    gated = gates.gate_texts(frames.scored(spark, folder, "source_config", "text_eng", "text_ory"))
     kept = gates.kept(gated)
-    labelled = kept.where("label is not null and source_config is not null")
+    labelled = kept.where("label is not null")
     grouped = labelled.withColumn("dedup_group", F.sha2(normalise("text_ory"), 256))
     survivors = sampling.representatives(grouped, "dedup_group", "label", "source_config", "example_id")
     return Curated(gated, kept, labelled, survivors, frames.with_split(survivors, "dedup_group"))

@@ -129,7 +129,7 @@ def f18_surface_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def f19_coerced_label(spark: SparkSession, folder: str) -> DataFrame:
-    named = release_records(spark, folder).select("example_id", F.coalesce(F.lower("label_str"), F.col("label").cast("string")).alias("raw"))
+    named = release_records(spark, folder, "label", "label_str").select("example_id", F.coalesce(F.lower("label_str"), F.col("label").cast("string")).alias("raw"))
     return named.select("example_id", X.coerced_label("raw").alias("label"))
 
 
@@ -140,13 +140,13 @@ def f20_length_sides(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def f22_yield_verdict(spark: SparkSession, folder: str) -> DataFrame:
-    counts = scored(spark, folder).where("label is not null").groupBy("source_config").agg(F.count(F.lit(1)).alias("n"))
+    counts = scored(spark, folder, "source_config").where("label is not null").groupBy("source_config").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("source_config", "n", association.verdict(F.col("n")).alias("verdict"))
 
 
 @query
 def f24_expected_macro_f1(spark: SparkSession, folder: str) -> DataFrame:
-    r = metrics.rates(metrics.confusion(predictions(spark, folder), "gold", "pred", "source_config"))
+    r = metrics.rates(metrics.confusion(predictions(spark, folder, "source_config"), "gold", "pred", "source_config"))
     return rounded(r.select("source_config", "tpr", "fpr", "prevalence", "balanced_accuracy", metrics.expected_macro_f1(F.lit(0.01), F.col("tpr"), F.col("fpr")).alias("expected")))
 
 
@@ -174,7 +174,7 @@ def g2_rejected(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def g3_drop_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return gates.drop_counts(gates.gate_texts(pair_records(spark, folder)), "source_config")
+    return gates.drop_counts(gates.gate_texts(pair_records(spark, folder, "source_config", "text_eng", "text_ory")), "source_config")
 
 
 @query
@@ -184,7 +184,7 @@ def g3_co_failures(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def g4_breaches(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(gates.breaches(gates.gate_texts(pair_records(spark, folder)), "source_config", 1.0))
+    return rounded(gates.breaches(gates.gate_texts(pair_records(spark, folder, "source_config", "text_eng", "text_ory")), "source_config", 1.0))
 
 
 @query
@@ -194,19 +194,19 @@ def g5_discarded(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def g9_split_overlap(spark: SparkSession, folder: str) -> DataFrame:
-    rows = frames.with_split(pair_records(spark, folder).withColumn("norm", X.normalise("text_ory")))
+    rows = frames.with_split(pair_records(spark, folder, "text_ory").withColumn("norm", X.normalise("text_ory")))
     return audit.split_overlap(rows, "norm", "part")
 
 
 @query
 def g10_straddling_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = frames.with_split(pair_records(spark, folder).withColumn("g", F.sha2(X.normalise("text_ory"), 256)))
+    rows = frames.with_split(pair_records(spark, folder, "text_ory").withColumn("g", F.sha2(X.normalise("text_ory"), 256)))
     return audit.straddling(rows, "g", "part").select("g", F.array_join("splits", ",").alias("splits"))
 
 
 @query
 def g10_straddling_groups(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pair_records(spark, folder).withColumn("g", F.sha2(X.normalise("text_ory"), 256)).where("g is not null")
+    rows = pair_records(spark, folder, "text_ory").withColumn("g", F.sha2(X.normalise("text_ory"), 256)).where("g is not null")
     return audit.straddling(frames.with_split(rows, "g"), "g", "part").select("g", F.array_join("splits", ",").alias("splits"))
 
 
@@ -215,7 +215,7 @@ def g10_straddling_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def j1_attach_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return scored(spark, folder).select("example_id", "source_config", "p_hate_raw", "p_hate")
+    return scored(spark, folder, "source_config").select("example_id", "source_config", "p_hate_raw", "p_hate")
 
 
 @query
@@ -230,14 +230,14 @@ def j3_still_to_do(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def j6_agreement(spark: SparkSession, folder: str) -> DataFrame:
-    teacher = release_records(spark, folder).where("label_str is not null")
+    teacher = release_records(spark, folder, "label_str").where("label_str is not null")
     human = teacher.select("example_id", F.when(ids.unit_fraction("example_id", "human") < 0.1, F.lit(" ")).when(ids.unit_fraction("example_id", "human") < 0.3, F.lit("hate")).otherwise(F.lower("label_str")).alias("human_label"))
     return agreement.per_class(agreement.joined(human, teacher, "example_id", "human_label"), "human", "teacher").withColumn("agreement", F.round("agreement", 6))
 
 
 @query
 def j8_variant_difference(spark: SparkSession, folder: str) -> DataFrame:
-    rows = release_records(spark, folder)
+    rows = release_records(spark, folder, "label", "source_config")
     a = sampling.balance(rows, "label", "source_config", "example_id", "proportional")
     b = sampling.balance(rows, "label", "source_config", "example_id", "proportional", 7)
     return audit.difference(a, b, ["example_id"])
@@ -250,7 +250,7 @@ def u2_unscored(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def u3_shared_texts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = frames.with_split(pair_records(spark, folder).withColumn("norm", X.normalise("text_eng"))).where("norm is not null")
+    rows = frames.with_split(pair_records(spark, folder, "text_eng").withColumn("norm", X.normalise("text_eng"))).where("norm is not null")
     of = lambda s: rows.where(F.col("part") == s).select("norm")
     return of("train").intersect(of("test"))
 
@@ -260,36 +260,36 @@ def u3_shared_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a1_yields(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(association.yields(scored(spark, folder), "source_config", "label"))
+    return rounded(association.yields(scored(spark, folder, "source_config"), "source_config", "label"))
 
 
 @query
 def a2_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(bands.histogram(scored(spark, folder), "p_hate", ["source_config"]))
+    return rounded(bands.histogram(scored(spark, folder, "source_config"), "p_hate", ["source_config"]))
 
 
 @query
 def a3_contingency(spark: SparkSession, folder: str) -> DataFrame:
-    return association.contingency(release_records(spark, folder), "source_config", "label")
+    return association.contingency(release_records(spark, folder, "label", "source_config"), "source_config", "label")
 
 
 @query
 def a4_mutual_information(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(association.association(release_records(spark, folder), "source_config", "label"))
+    return rounded(association.association(release_records(spark, folder, "label", "source_config"), "source_config", "label"))
 
 
 @query
 def a6_label_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(association.label_shares(release_records(spark, folder), "source_config", "label"))
+    return rounded(association.label_shares(release_records(spark, folder, "label", "source_config"), "source_config", "label"))
 
 
 @query
 def a7_exact_groups(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.exact_groups(pair_records(spark, folder), "example_id", "text_ory").select("text_key", "members")
+    return dedup.exact_groups(pair_records(spark, folder, "text_ory"), "example_id", "text_ory").select("text_key", "members")
 
 
 def _grouped(spark: SparkSession, folder: str) -> DataFrame:
-    return release_records(spark, folder).withColumn("g", F.sha2(X.normalise("text_ory"), 256)).where("g is not null")
+    return release_records(spark, folder, "label", "source_config", "text_ory").withColumn("g", F.sha2(X.normalise("text_ory"), 256)).where("g is not null")
 
 
 @query
@@ -304,12 +304,12 @@ def a9_spanning(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a10_three_way(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.three_way(frames.with_split(release_records(spark, folder)), "part", "label", "source_config")
+    return audit.three_way(frames.with_split(release_records(spark, folder, "label", "source_config")), "part", "label", "source_config")
 
 
 @query
 def a11_split_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(audit.split_shares(frames.with_split(release_records(spark, folder)), "part", "label", "source_config", list(frames.SPLITS)))
+    return rounded(audit.split_shares(frames.with_split(release_records(spark, folder, "label", "source_config")), "part", "label", "source_config", list(frames.SPLITS)))
 
 
 @query
@@ -319,27 +319,27 @@ def a12_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a13_metrics_by_source(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(metrics.metrics(predictions(spark, folder), "gold", "pred", "source_config").select("source_config", "n", "accuracy", "macro_f1", "mcc"))
+    return rounded(metrics.metrics(predictions(spark, folder, "source_config"), "gold", "pred", "source_config").select("source_config", "n", "accuracy", "macro_f1", "mcc"))
 
 
 @query
 def a13_metrics_by_mood(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(metrics.metrics(predictions(spark, folder), "gold", "pred", "question").select("question", "n", "accuracy", "macro_f1", "mcc"))
+    return rounded(metrics.metrics(predictions(spark, folder, "text_eng"), "gold", "pred", "question").select("question", "n", "accuracy", "macro_f1", "mcc"))
 
 
 @query
 def a14_metrics_by_length(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(metrics.metrics_by_length(predictions(spark, folder), "gold", "pred", "char_len").select("length_bin", "n", "macro_f1"))
+    return rounded(metrics.metrics_by_length(predictions(spark, folder, "text_eng"), "gold", "pred", "char_len").select("length_bin", "n", "macro_f1"))
 
 
 @query
 def a15_mood_by_error(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(metrics.mood_by_error(predictions(spark, folder).withColumn("wrong", ~F.col("correct")), "question", "wrong"))
+    return rounded(metrics.mood_by_error(predictions(spark, folder, "text_eng").withColumn("wrong", ~F.col("correct")), "question", "wrong"))
 
 
 @query
 def a16_mood_prediction(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(metrics.mood_prediction(predictions(spark, folder), "question", "gold", "pred"))
+    return rounded(metrics.mood_prediction(predictions(spark, folder, "text_eng"), "question", "gold", "pred"))
 
 
 @query
@@ -385,6 +385,11 @@ def a22_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return audit.alignment(table(spark, folder, "raw_conversations"))
 
 
+@query
+def a22_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.id_collisions(table(spark, folder, "pairs"), "source_config", "doc_id")
+
+
 @query
 def a22_turn_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return audit.turn_histogram(table(spark, folder, "raw_conversations"))
@@ -395,11 +400,6 @@ def a23_length_profile(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(audit.length_profile(table(spark, folder, "documents"), "n_chars", (64, 128, 256, 512, 1024, 2048, 4096), "source"))
 
 
-@query
-def a24_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(metrics.bootstrap(predictions(spark, folder), "gold", "pred", 50))
-
-
 @query
 def a24_replicates(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.resamples(predictions(spark, folder), "gold", "pred"))
@@ -417,7 +417,7 @@ def a25_floors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a26_question_rule(spark: SparkSession, folder: str) -> DataFrame:
-    rule = predictions(spark, folder).withColumn("rule", F.when(F.col("question"), 0).otherwise(1))
+    rule = predictions(spark, folder, "text_eng").withColumn("rule", F.when(F.col("question"), 0).otherwise(1))
     return rounded(metrics.metrics(rule, "gold", "rule"))
 
 
@@ -428,7 +428,7 @@ def a27_probe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a28_label_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return frames.with_split(release_records(spark, folder)).where("part = 'train'").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return frames.with_split(release_records(spark, folder, "label", "source_config")).where("part = 'train'").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -474,12 +474,12 @@ def w4_stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def w5_agreement_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.balanced_sample(release_records(spark, folder), 200, "label", "source_config", "example_id", 42).select("example_id", "label", "source_config")
+    return sampling.balanced_sample(release_records(spark, folder, "label", "source_config"), 200, "label", "source_config", "example_id", 42).select("example_id", "label", "source_config")
 
 
 @query
 def w6_representatives(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _grouped(spark, folder).where("label is not null and source_config is not null")
+    rows = _grouped(spark, folder).where("label is not null")
     return sampling.representatives(rows, "g", "label", "source_config", "example_id")
 
 
@@ -491,12 +491,12 @@ def w7_review_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def w8_balance(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.balance(release_records(spark, folder), "label", "source_config", "example_id", "proportional").select("example_id", "label", "source_config")
+    return sampling.balance(release_records(spark, folder, "label", "source_config"), "label", "source_config", "example_id", "proportional").select("example_id", "label", "source_config")
 
 
 @query
 def w8_balance_match_minority(spark: SparkSession, folder: str) -> DataFrame:
-    rows = sampling.balance(release_records(spark, folder), "label", "source_config", "example_id", "match_minority")
+    rows = sampling.balance(release_records(spark, folder, "label", "source_config"), "label", "source_config", "example_id", "match_minority")
     return rows.groupBy("source_config", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -510,7 +510,7 @@ def o2_largest_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def o3_confident_errors(spark: SparkSession, folder: str) -> DataFrame:
-    p = predictions(spark, folder).where(~F.col("correct"))
+    p = predictions(spark, folder, "text_eng").where(~F.col("correct"))
     p = p.withColumn("confidence", F.greatest("prob_hate", 1 - F.col("prob_hate"))).withColumn("kind", F.when(F.col("pred") == 1, "FP").otherwise("FN"))
     return p.orderBy(F.desc("confidence"), "example_id").limit(25).select("example_id", "kind", F.substring("text_eng", 1, 400).alias("excerpt"))
 
@@ -520,23 +520,23 @@ def o3_confident_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d1_exact_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.exact_groups(pair_records(spark, folder), "example_id", "text_eng").select(F.col("text_key").alias("example_id"))
+    return dedup.exact_groups(pair_records(spark, folder, "text_eng"), "example_id", "text_eng").select(F.col("text_key").alias("example_id"))
 
 
 @query
 def d3_similar_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.near_duplicates(pair_records(spark, folder), "example_id", "text_ory")[1]
+    return dedup.near_duplicates(pair_records(spark, folder, "text_ory"), "example_id", "text_ory")[1]
 
 
 @query
 def d4_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.near_duplicates(pair_records(spark, folder), "example_id", "text_ory")[2]
+    return dedup.near_duplicates(pair_records(spark, folder, "text_ory"), "example_id", "text_ory")[2]
 
 
 @query
 def d4_components_of_links(spark: SparkSession, folder: str) -> DataFrame:
     """Records linked by an equal Odia or an equal English text, as components."""
-    p = pair_records(spark, folder)
+    p = pair_records(spark, folder, "text_ory", "text_eng")
     rows = p.select("example_id", X.normalise("text_ory").alias("o"), X.normalise("text_eng").alias("e"))
     links = None
     for c in ("o", "e"):
@@ -548,23 +548,23 @@ def d4_components_of_links(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d5_cluster_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.cluster_stats(*dedup.near_duplicates(pair_records(spark, folder), "example_id", "text_ory"))
+    return dedup.cluster_stats(*dedup.near_duplicates(pair_records(spark, folder, "text_ory"), "example_id", "text_ory"))
 
 
 @query
 def d6_threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    groups = dedup.exact_groups(pair_records(spark, folder), "example_id", "text_ory")
+    groups = dedup.exact_groups(pair_records(spark, folder, "text_ory"), "example_id", "text_ory")
     return dedup.sweep(cut(dedup.minhash(groups, "text_key", "norm")), "text_key")
 
 
 @query
 def d7_english_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.cluster_stats(*dedup.near_duplicates(pair_records(spark, folder), "example_id", "text_eng"))
+    return dedup.cluster_stats(*dedup.near_duplicates(pair_records(spark, folder, "text_eng"), "example_id", "text_eng"))
 
 
 @query
 def d8_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    rows = release_records(spark, folder).where("label is not null").drop("dedup_group")
+    rows = release_records(spark, folder, "label", "source_config", "text_ory").where("label is not null")
     groups, _, roots = dedup.near_duplicates(rows, "example_id", "text_ory")
     return sampling.representatives(dedup.map_back(rows, "example_id", "text_ory", groups, roots), "dedup_group", "label", "source_config", "example_id")
 
@@ -585,11 +585,31 @@ def m2_scored_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def m6_surface_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    rows = frames.with_split(release_records(spark, folder).where("label is not null and text_ory is not null"))
+    rows = frames.with_split(release_records(spark, folder, "label", "text_ory").where("label is not null and text_ory is not null"))
     model = baseline.fit(rows.where("part = 'train'"), "text_ory", "label")
     return metrics.metrics(baseline.predict(model, rows.where("part <> 'train'"), "text_ory"), "label", "prediction", "part")
 
 
+@query
+def m6_coefficients(spark: SparkSession, folder: str) -> DataFrame:
+    """The surface model's features, the strongest first."""
+    rows = frames.with_split(release_records(spark, folder, "label", "text_ory").where("label is not null and text_ory is not null"))
+    ranked = baseline.coefficients(baseline.fit(rows.where("part = 'train'"), "text_ory", "label"))
+    return rounded(spark.createDataFrame([(i, n, c) for i, (n, c) in enumerate(ranked, 1)], "place int, feature string, coefficient double"))
+
+
+@query
+def m6_transfer(spark: SparkSession, folder: str) -> DataFrame:
+    """The surface model of English texts on the suite, which it wasn't fitted
+    to: metrics, and how much of the way from chance to 0.9094 they cover."""
+    rows = frames.with_split(release_records(spark, folder, "label", "text_eng").where("label is not null and text_eng is not null"))
+    suite = table(spark, folder, "canary_items").withColumn("label", (F.col("tier") == "clear_hate").cast("int"))
+    m = metrics.metrics(baseline.predict(baseline.fit(rows.where("part = 'train'"), "text_eng", "label"), suite, "text"), "label", "prediction")
+    chance = metrics.floors(suite, "id", "label").where("floor = 'random'").select(F.col("macro_f1").alias("chance"))
+    both = m.select("n", "accuracy", "macro_f1", "mcc").crossJoin(F.broadcast(chance))  # one row each
+    return rounded(both.withColumn("covered", metrics.covered(F.col("macro_f1"), F.col("chance"), F.lit(0.9094))))
+
+
 @query
 def n1_text_scores(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(native.text_scores(table(spark, folder, "pairs")), 4)
