@@ -94,8 +94,8 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _table(spark, folder, "documents").withColumn("sources", F.expr("if(source is null, array(), array(source))"))
-    return encoding.token_counts(documents, ["doc_id", "sources"])
+    documents = mixing.memberships(_table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return cut(encoding.token_counts(documents, ["doc_id", "source", "sources", "copies"]))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:

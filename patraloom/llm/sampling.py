@@ -56,18 +56,22 @@ def allot(shares: Sequence[float], floors: Sequence[int], caps: Sequence[int], t
 
 def records(df: DataFrame, keys: Sequence[str], id_column: str = "example_id") -> DataFrame:
     """Distinct records whose category is known: repeated rows of an id count
-    once, ids that are null or whose category has a null don't count."""
+    once, ids that are null or whose category has a null don't count. An id that
+    stands there with several categories is available in each."""
     known = [F.col(k).isNotNull() for k in [id_column, *keys]]
     ok = known[0]
     for k in known[1:]:
         ok = ok & k
-    return df.where(ok).groupBy(F.col(id_column)).agg(*(F.first(k).alias(k) for k in keys))
+    return df.where(ok).select(id_column, *keys).distinct()
 
 
 def quotas(available: DataFrame, targets: DataFrame, keys: Sequence[str] = ("source_config", "label")) -> DataFrame:
     """The report: one row per row of ``targets`` with ``available``, ``needed``
     (the larger of ``min_rows`` and the share of the wanted size, not rounded),
-    ``quota``, ``quota_share``, ``short`` (needed less available, where positive).
+    ``quota``, ``quota_share``, ``short`` (needed less quota, where positive)
+    and ``reason``: ``available`` if there are fewer records than needed,
+    ``rounding`` if less than one record is lacking, else ``others``: the floors
+    of other categories took what is lacking. Null if the target is met.
 
     ``targets`` has ``plan``, the keys, ``target_share``, ``min_rows`` and
     ``sample_fraction``; rows with a null in any of them are left out, and a
@@ -91,16 +95,20 @@ def quotas(available: DataFrame, targets: DataFrame, keys: Sequence[str] = ("sou
         got = allot([r["target_share"] for r in cats], [r["min_rows"] for r in cats], have, size)
         for r, a, q in zip(cats, have, got, strict=True):
             need = max(float(r["min_rows"]), r["target_share"] * r["sample_fraction"] * r["n"])
-            out.append((plan, *(r[k] for k in keys), r["target_share"], r["min_rows"], a, need, q, q / sum(got) if sum(got) else None, max(0.0, need - a)))
+            out.append((plan, *(r[k] for k in keys), r["target_share"], r["min_rows"], a, need, q, q / sum(got) if sum(got) else None, max(0.0, need - q), _reason(need, a, q)))
     kinds = [targets.schema[k] for k in keys]
     schema = T.StructType([
         T.StructField("plan", T.StringType()), *kinds, T.StructField("target_share", T.DoubleType()), T.StructField("min_rows", T.IntegerType()),
         T.StructField("available", T.LongType()), T.StructField("needed", T.DoubleType()), T.StructField("quota", T.LongType()),
-        T.StructField("quota_share", T.DoubleType()), T.StructField("short", T.DoubleType()),
+        T.StructField("quota_share", T.DoubleType()), T.StructField("short", T.DoubleType()), T.StructField("reason", T.StringType()),
     ])
     return spark.createDataFrame(out, schema)
 
 
+def _reason(need: float, available: int, quota: int) -> str | None:
+    return None if quota >= need else "available" if available < need else "rounding" if need - quota < 1 else "others"
+
+
 def draw(available: DataFrame, report: DataFrame, keys: Sequence[str] = ("source_config", "label"), id_column: str = "example_id", seed: int = 42) -> DataFrame:
     """The sample: for each plan and category the ``quota`` records with the
     smallest keys, a hash of seed, plan and id (ties by id).

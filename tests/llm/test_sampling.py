@@ -34,12 +34,22 @@ def test_sample_and_report(spark):
     r = {(x.source_config, x.label): x for x in report.collect()}
     assert set(r) == {("a", 0), ("a", 1), ("b", 0), ("c", 1)}
     assert r["a", 1].available == 100 and r["c", 1].available == 0 and r["c", 1].short == 15.0 and r["b", 0].short == 10.0
+    assert r["c", 1].reason == r["b", 0].reason == "available"
+    assert all((x.short > 0) == (x.reason is not None) and x.short == max(0, x.needed - x.quota) for x in r.values())
     rows = sample.collect()
     assert len(rows) == sum(x.quota for x in r.values()) and len({x.example_id for x in rows}) == len(rows)
     again = target_sample(df.repartition(7), targets)[0]
     assert {x.example_id for x in rows} == {x.example_id for x in again.collect()}
 
 
+def test_reasons_and_several_categories(spark):
+    df = spark.createDataFrame([(f"{i}", "a", i % 2) for i in range(200)] + [("0", "b", 0)], "example_id string, source_config string, label tinyint")
+    t = [("p", "a", 0, 0.49, 1, 0.1), ("p", "a", 1, 0.5, 30, 0.1), ("p", "b", 0, 0.01, 0, 0.1)]
+    r = {(x.source_config, x.label): x for x in quotas(records(df, ["source_config", "label"]), spark.createDataFrame(t, T)).collect()}
+    assert r["a", 0].reason == "others" and r["a", 0].quota < 9 and r["a", 1].reason is None and r["a", 1].quota == 30
+    assert r["b", 0].available == 1 and r["a", 0].available == 100
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "example_id string, source_config string, label tinyint, quota int")
     sample, report = target_sample(df, spark.createDataFrame(TARGETS[:2], T))
