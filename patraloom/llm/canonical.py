@@ -28,9 +28,9 @@ from patraloom.session import cut
 LOOK_ALIKES = """
 А A  В B  С C  Е E  Н H  І I  Ј J  К K  М M  О O  Р P  Ѕ S  Т T  Х X  Ԍ G  Ԛ Q  Ԝ W
 а a  с c  ԁ d  е e  һ h  і i  ј j  о o  р p  ԛ q  ѕ s  х x  у y  ԝ w
-Α A  Β B  Ε E  Ζ Z  Η H  Ι I  Κ K  Μ M  Ν N  Ο O  Ρ P  Τ T  Υ Y  Χ X  ο o  ϳ j
-օ o  Օ O  ɡ g  ɑ a
-‐ -  ‑ -  ‒ -
+Α A  Β B  Ε E  Ζ Z  Η H  Ι I  Κ K  Μ M  Ν N  Ο O  Ρ P  Τ T  Υ Y  Χ X  ν v  ο o  ρ p  υ u  ϳ j
+օ o  Օ O  ɡ g  ɑ a  ѵ v
+‐ -  ‑ -  ‒ -  − -  ⁄ /  ∕ /
 ୦ ଠ  | ।  ǀ ।
 """
 # Marks and letters typed in pieces that are drawn as one, "pieces whole".
@@ -219,19 +219,38 @@ def _tick(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def looks_the_same(df: DataFrame, id_column: str = "example_id", text: str = "text_ory") -> DataFrame:
+def _members(df: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``id``, ``r`` (a hash of the string), ``f1``, ``f2`` (of its form), once each."""
+    texts = df.select(F.col(_tick(id_column)).alias("id"), F.col(_tick(text)).alias("raw")).where("id is not null and raw is not null")
+    formed = canonical_text(texts.withColumn("r", F.xxhash64("raw")), {"raw": "form"}, keep=["id", "r"])
+    return cut(formed.select("id", "r", F.xxhash64("form").alias("f1"), F.xxhash64(F.lit(1), "form").alias("f2")).distinct())
+
+
+def looks_the_same(df: DataFrame, id_column: str = "example_id", text: str = "text_ory", part: int = 2048) -> DataFrame:
     """Pairs of records whose texts are different strings that look the same.
 
     Columns ``example_id_a < example_id_b``. Repeated rows of a record count
     once; null texts are in no pair. Only hashes are shuffled (two of 64 bits
     for the form, one for the string), and only records of forms stored in
-    more than one way reach the join, which never pairs equal strings.
+    more than one way reach the join, which never pairs equal strings. Those of
+    a form that very many have meet in parts of about ``part``.
     """
-    texts = df.select(F.col(_tick(id_column)).alias("id"), F.col(_tick(text)).alias("raw")).where("id is not null and raw is not null")
-    formed = canonical_text(texts.withColumn("r", F.xxhash64("raw")), {"raw": "form"}, keep=["id", "r"])
-    formed = cut(formed.select("id", "r", F.xxhash64("form").alias("f1"), F.xxhash64(F.lit(1), "form").alias("f2")).distinct())
-    several = formed.groupBy("f1", "f2").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("f1", "f2")
-    members = formed.join(several, ["f1", "f2"], "left_semi")
-    a = members.select("f1", "f2", F.col("id").alias("example_id_a"), F.col("r").alias("ra"))
-    b = members.select("f1", "f2", F.col("id").alias("example_id_b"), F.col("r").alias("rb"))
-    return a.join(b, ["f1", "f2"]).where("example_id_a < example_id_b and ra <> rb").select("example_id_a", "example_id_b")
+    formed = _members(df, id_column, text)
+    parts = F.expr(f"cast(ceil(count(1) / {part}) as int)")
+    several = formed.groupBy("f1", "f2").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), parts.alias("parts")).where("lo <> hi").select("f1", "f2", "parts")
+    members = formed.join(several, ["f1", "f2"])
+    a = members.select("f1", "f2", F.pmod(F.xxhash64("id"), "parts").alias("part"), F.col("id").alias("example_id_a"), F.col("r").alias("ra"))
+    b = members.select("f1", "f2", F.explode(F.expr("sequence(0L, parts - 1L)")).alias("part"), F.col("id").alias("example_id_b"), F.col("r").alias("rb"))
+    return a.join(b, ["f1", "f2", "part"]).where("example_id_a < example_id_b and ra <> rb").select("example_id_a", "example_id_b")
+
+
+def look_classes(df: DataFrame, id_column: str = "example_id", text: str = "text_ory") -> DataFrame:
+    """The id of each record with a text, ``class`` (the smallest id among those
+    that look the same) and ``links``, how many of these are other strings.
+    Counts per string are combined before forms are compared, so nothing grows
+    with the square of a class."""
+    formed = _members(df, id_column, text)
+    strings = formed.groupBy("f1", "f2", "r").agg(F.count(F.lit(1)).alias("same"), F.min("id").alias("least"))
+    forms = strings.groupBy("f1", "f2").agg(F.sum("same").alias("all"), F.min("least").alias("class"))
+    joined = formed.join(strings.select("f1", "f2", "r", "same"), ["f1", "f2", "r"]).join(forms, ["f1", "f2"])
+    return joined.select(F.col("id").alias(id_column), "class", (F.col("all") - F.col("same")).alias("links"))

@@ -27,6 +27,11 @@ def p1_canonical(spark: SparkSession, folder: str) -> DataFrame:
     return formed.groupBy("example_id").agg(F.max("text").alias("text"))
 
 
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of every record with an Odia text, and how many others look like it."""
+    return canonical.look_classes(_table(spark, folder, "pairs"), "example_id", "text_ory")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Categories of each plan with too few records."""
     found = sampling.records(_table(spark, folder, "release"), ["source_config", "label"])
@@ -127,4 +132,4 @@ def p8_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_report, p5_found, p5_scores, p5_rates, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}
+    return {f.__name__: f for f in (p1_found, p1_canonical, p1_classes, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_report, p5_found, p5_scores, p5_rates, p6_ids, p7_found, p7_mix, p7_report, p8_found, p8_pieces)}

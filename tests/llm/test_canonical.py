@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from patraloom.llm.canonical import canonical_text, connection, duckdb_query, looks_the_same
+from patraloom.llm.canonical import canonical_text, connection, duckdb_query, look_classes, looks_the_same
 
 
 def formed(texts):
@@ -18,7 +18,7 @@ def formed(texts):
     "a, b",
     [
         ("ＡＢＣ　１２３", "ABC 123"), ("ﬁne ﬂow", "fine flow"), ("é", "é"), ("a​b­c", "abc"), ("  x\t\n y　", "x y"), ("раураl", "paypal"),
-        ("ଡ଼", "ଡ଼"), ("କୋ", "କୋ"), ("ଯାଏ|", "ଯାଏ।"), ("ଯାଏ॥", "ଯାଏ||"), ("୧୦", "୧ଠ"), ("naїve", "naïve"), ("e‑mail", "e-mail"), ("①", "1"), ("½", "1⁄2"),
+        ("ଡ଼", "ଡ଼"), ("କୋ", "କୋ"), ("ଯାଏ|", "ଯାଏ।"), ("ଯାଏ॥", "ଯାଏ||"), ("୧୦", "୧ଠ"), ("naїve", "naïve"), ("e‑mail", "e-mail"), ("①", "1"), ("½", "1⁄2"), ("½", "1/2"), ("ρυν ѵ", "puv v"), ("3 − 1 ∕ 2", "3 - 1 / 2"),
     ],
 )
 def test_same_look_same_form(a, b):
@@ -53,6 +53,19 @@ def test_pairs(spark):
     assert got == {("1", "2"), ("1", "3"), ("1", "5"), ("2", "5"), ("3", "5")}
 
 
+def test_classes_and_parts(spark):
+    rows = [(f"{i:03d}", t) for i, t in enumerate(["ａ b", "a b", "a  b", "a b"] * 10 + ["c"] * 5 + [None, ""])] + [("000", "ａ b"), (None, "a b")]
+    df = spark.createDataFrame(rows, "example_id string, text_ory string")
+    got = {r.example_id: (r["class"], r.links) for r in look_classes(df).collect()}
+    text = {i: t for i, t in rows if i is not None and t is not None}
+    form = dict(zip(text, formed(list(text.values()))))
+    same = {i: [j for j in text if form[j] == form[i]] for i in text}
+    assert got == {i: (min(same[i]), sum(text[j] != text[i] for j in same[i])) for i in text}
+    pairs = [tuple(r) for r in looks_the_same(df, part=7).collect()]
+    assert sorted(pairs) == sorted((i, j) for i in text for j in same[i] if i < j and text[i] != text[j])
+    assert look_classes(df.limit(0)).collect() == []
+
+
 def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([], "example_id string, text_ory string, raw string, f1 long, form string")
     assert looks_the_same(df).collect() == []
