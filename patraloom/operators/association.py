@@ -58,6 +58,11 @@ def label_shares(df: DataFrame, source: str, label: str, alarm_pct: float = 95.0
     return out.withColumn("alarm", F.col("pct") >= alarm_pct)
 
 
+def ranked(df: DataFrame, value: str, name: str, *by: str) -> DataFrame:
+    """Adds ``place``: from the largest value down within each group, ties by name."""
+    return df.withColumn("place", F.row_number().over(W.partitionBy(*by).orderBy(F.desc(value), name)))
+
+
 def yields(df: DataFrame, source: str, label: str) -> DataFrame:
     """Per source, and in total (source null, ``is_total``): rows, labelled 1, 0
     and discarded, with percentages."""

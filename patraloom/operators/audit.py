@@ -33,6 +33,12 @@ def coverage(wanted: DataFrame, found: DataFrame, key: str = "example_id") -> Da
     )
 
 
+def with_metadata(predictions: DataFrame, metadata: DataFrame, columns: Sequence[str], key: str = "example_id") -> DataFrame:
+    """Predictions with columns of their records, joined by key, never by place;
+    a prediction without a record keeps nulls."""
+    return predictions.join(metadata.select(key, *columns).dropDuplicates([key]), key, "left")
+
+
 def still_to_do(wanted: DataFrame, done: DataFrame, key: str = "example_id") -> DataFrame:
     """Distinct ids without a finished row, to resume a run."""
     return wanted.where(F.col(key).isNotNull()).select(key).distinct().join(done.select(key), key, "left_anti")

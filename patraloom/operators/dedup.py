@@ -30,7 +30,9 @@ def exact_groups(df: DataFrame, key: str, text: str) -> DataFrame:
     """Per distinct normalised text: ``text_key`` (smallest id), ``members`` and
     ``norm``. Null texts are left out."""
     norm = df.select(F.col(key), normalise(text).alias("norm")).where("norm is not null")
-    return norm.groupBy("norm").agg(F.min(key).alias("text_key"), F.count(F.lit(1)).alias("members"))
+    # Grouped by its 256-bit hash, so that only one copy of a text leaves a task.
+    hashed = norm.groupBy(F.sha2("norm", 256).alias("h")).agg(F.min(key).alias("text_key"), F.count(F.lit(1)).alias("members"), F.first("norm").alias("norm"))
+    return hashed.select("norm", "text_key", "members")
 
 
 def least_equal(threshold: float, slots: int = SLOTS) -> int:
@@ -81,9 +83,11 @@ def _sketch(sig: np.ndarray) -> np.ndarray:
     return np.concatenate(planes, axis=1).T
 
 
-def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS) -> DataFrame:
+def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS, star: bool = False, roots: DataFrame | None = None, part: int = 2048) -> DataFrame:
     """``a < b``, ``similarity``: the pairs whose signatures agree in at least
-    ``threshold`` of the slots.
+    ``threshold`` of the slots. With ``star`` only those with the smallest key of
+    a bucket, with ``roots`` (``node``, ``root``) only those of different roots.
+    The keys of a large bucket meet in parts of about ``part``.
 
     They are looked for where a band is equal (see :func:`bands_for`). Two bits a
     slot go along with the bands, so that pairs with too few slots of equal bits,
@@ -109,14 +113,18 @@ def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots
             yield pa.RecordBatch.from_arrays([batch.column(0).take(which), pa.array(keys.ravel().view(np.int64)), *(pa.array(np.tile(w, b)) for w in sketch)], ["k", "band", *words])
 
     banded = sigs.mapInArrow(run, f"k {kind}, band bigint, " + ", ".join(f"{w} bigint" for w in words))
-    # Buckets of one are dropped by a count that is combined before the shuffle.
-    shared = banded.groupBy("band").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("band")
-    held = banded.join(shared, "band", "left_semi")
-    a, b_ = (held.select("band", F.col("k").alias(n), *(F.col(w).alias(n + w) for w in words)) for n in "ab")
+    banded = banded.withColumn("root", F.col("k")) if roots is None else banded.join(roots.select(F.col("node").alias("k"), "root"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    # Buckets of one (or of one root) are dropped by a count that is combined before the shuffle.
+    parts = F.lit(1) if star else F.expr(f"cast(ceil(count(1) / {part}) as int)")
+    shared = banded.groupBy("band").agg(F.min("k").alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts")).where("lo <> hi").select("band", "first", "parts")
+    held = banded.join(shared, "band")
+    left = held.where("k = first").withColumn("part", F.lit(0)) if star else held.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    right = held.withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int"))
+    a, b_ = (side.select("band", "part", F.col("root").alias(f"{n}root"), F.col("k").alias(n), *(F.col(w).alias(n + w) for w in words)) for n, side in (("a", left), ("b", right)))
     half = len(words) // 2
     off = " + ".join(f"bit_count((a{x} ^ b{x}) | (a{y} ^ b{y}))" for x, y in zip(words[:half], words[half:], strict=True))
-    near = F.expr(f"a < b and {off} <= {slots - least_equal(threshold, slots)}")
-    pairs = a.join(b_, (a["band"] == b_["band"]) & near).select("a", "b").distinct()
+    near = F.expr(f"a < b and aroot <> broot and {off} <= {slots - least_equal(threshold, slots)}")
+    pairs = a.join(b_, (a["band"] == b_["band"]) & (a["part"] == b_["part"]) & near).select("a", "b").distinct()
     sa, sb = sigs.toDF("a", "sa"), sigs.toDF("b", "sb")
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return pairs.join(sa, "a").join(sb, "b").withColumn("similarity", equal / F.lit(float(slots))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
@@ -128,20 +136,31 @@ def clusters(keys: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     return keys.select(key).join(roots, key, "left").withColumn("root", F.coalesce("root", F.col(key)))
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = SIMILAR, slots: int = SLOTS, k: int = RUN) -> tuple[DataFrame, DataFrame, DataFrame]:
+def linking_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS) -> DataFrame:
+    """Pairs (``a``, ``b``) that connect the same texts as all those of
+    :func:`candidate_pairs` do, without listing these: first each bucket's texts
+    with its smallest key, then, in buckets that this leaves in several
+    components, those of different ones."""
+    first = cut(candidate_pairs(sigs, key, threshold, slots, star=True).select("a", "b"))
+    more = candidate_pairs(sigs, key, threshold, slots, roots=cut(components(first)))
+    return cut(first.unionByName(more.select("a", "b")))
+
+
+def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = SIMILAR, slots: int = SLOTS, k: int = RUN, pairs: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups, edges, clusters): :func:`exact_groups`, :func:`candidate_pairs`
-    of their texts, and the cluster of each text key."""
+    of their texts (:func:`linking_pairs` without ``pairs``), and the cluster of
+    each text key."""
     groups = cut(exact_groups(df, key, text))
     sigs = cut(minhash(groups, "text_key", "norm", slots, k))
-    edges = cut(candidate_pairs(sigs, "text_key", threshold, slots))
+    edges = cut(candidate_pairs(sigs, "text_key", threshold, slots)) if pairs else linking_pairs(sigs, "text_key", threshold, slots)
     return groups, edges, clusters(groups, "text_key", edges)
 
 
 def map_back(df: DataFrame, key: str, text: str, groups: DataFrame, roots: DataFrame) -> DataFrame:
     """``df`` with ``dedup_group``, the root of its text's cluster. Rows with a
     null text are left out."""
-    rooted = groups.join(roots, "text_key").select("norm", F.col("root").alias("dedup_group"))
-    return df.withColumn("norm", normalise(text)).join(rooted, "norm").drop("norm")
+    rooted = groups.join(roots, "text_key").select(F.sha2("norm", 256).alias("norm_hash"), F.col("root").alias("dedup_group"))
+    return df.withColumn("norm_hash", F.sha2(normalise(text), 256)).join(rooted, "norm_hash").drop("norm_hash")
 
 
 def cluster_stats(groups: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -87,6 +87,13 @@ def stratified_sample(df: DataFrame, n: int, strata: str, key: str, seed: int |
     return downsample(known, _quota_frame(df, strata, quota), strata, key, seed)
 
 
+def simple_sample(df: DataFrame, n: int, key: str, seed: int | str) -> DataFrame:
+    """The ``n`` rows with the smallest draw keys, without strata."""
+    one = df.withColumn("_all", F.lit(""))
+    quota = df.sparkSession.createDataFrame([("", n)], "_all string, quota long")
+    return downsample(one, F.broadcast(quota), "_all", key, seed).drop("_all")  # one row
+
+
 def balanced_sample(df: DataFrame, n: int, label: str, strata: str, key: str, seed: int | str) -> DataFrame:
     """``n // 2`` rows of label 1 and of label 0, each stratified."""
     parts = [stratified_sample(df.where(F.col(label) == y), n // 2, strata, key, f"{seed}:{y}") for y in (1, 0)]

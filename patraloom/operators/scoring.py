@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patraloom.functions.ids import unit_fraction
@@ -45,6 +45,31 @@ def score_with(scorer: Scorer, batch: int = 64) -> Callable[[Column], Column]:
     return run
 
 
+def token_lengths(tokeniser: Callable[[], Callable[[str], Sequence]]) -> Callable[[Column], Column]:
+    """An Arrow function of a text column: how many tokens a text has, without
+    truncation; null for a null text. ``tokeniser`` is called once per worker."""
+
+    @F.pandas_udf("int")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = tokeniser()
+        for part in parts:
+            yield part.map(lambda t: None if t is None else len(tokens(t))).astype("Int32")
+
+    return run
+
+
+def environment(spark: SparkSession) -> dict[str, str]:
+    """What a run depends on, for its manifest: versions and the settings that shape results or plans."""
+    import platform
+
+    import numpy
+    import pyarrow
+
+    held = {"python": platform.python_version(), "spark": spark.version, "pyarrow": pyarrow.__version__, "numpy": numpy.__version__, "pandas": pd.__version__}
+    names = ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled", "spark.sql.files.maxPartitionBytes")
+    return held | {n: spark.conf.get(n) for n in names}
+
+
 def hash_score(key: Column | str, salt: str = "score") -> Column:
     """A deterministic stand-in for a model, uniform in [0, 1)."""
     return F.bround(unit_fraction(key, salt), 6)

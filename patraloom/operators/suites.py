@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patraloom.functions.bands import HIGH, LOW
@@ -53,3 +54,28 @@ def probe(df: DataFrame, score: str, marks: tuple[float, ...] = (0.5, 0.9)) -> D
     """One row: mean, maximum, and rows from each mark up, with a reading."""
     out = df.agg(F.avg(score).alias("mean"), F.max(score).alias("max"), F.count(F.lit(1)).alias("n"), *(F.count_if(F.col(score) >= m).alias(f"from_{int(m * 100)}") for m in marks))
     return out.withColumn("reading", F.when(F.col("mean") >= 0.5, "responds").when(F.col("max") >= 0.5, "responds to some").otherwise("does not respond"))
+
+
+class SuiteFailed(RuntimeError):
+    """A scorer that must not see the corpus."""
+
+
+def tiers(df: DataFrame, tier: str, score: str, known: str, bounds: dict[str, tuple[str, float]]) -> DataFrame:
+    """``step``, ``name``, ``passed``, ``reached``: the probe (reported alone),
+    the orientation, and the pinned bounds, in the order in which they are to be
+    passed. A step is reached if all before it passed; what isn't reached has no result."""
+    steps = [
+        df.sparkSession.range(1).select(F.lit(0).alias("step"), F.lit("probe").alias("name"), F.lit(True).alias("ok")),
+        orientation(df, tier, score).select(F.lit(1), F.lit("orientation"), "oriented"),
+        pinned(df, tier, score, known, bounds).agg(F.coalesce(F.bool_and("passed"), F.lit(False)).alias("ok")).select(F.lit(2), F.lit("pinned"), "ok"),
+    ]
+    out = steps[0].union(steps[1]).union(steps[2])
+    before = F.coalesce(F.bool_and("ok").over(W.orderBy("step").rowsBetween(W.unboundedPreceding, -1)), F.lit(True))  # three rows
+    return out.withColumn("reached", before).select("step", "name", F.when(F.col("reached"), F.col("ok")).alias("passed"), "reached")
+
+
+def require(df: DataFrame, tier: str, score: str, known: str, bounds: dict[str, tuple[str, float]]) -> None:
+    """Raises at the first step of :func:`tiers` that fails, before a corpus is scored."""
+    for r in tiers(df, tier, score, known, bounds).orderBy("step").collect():
+        if not r.passed:
+            raise SuiteFailed(f"the scorer failed at {r.name}")

@@ -255,6 +255,13 @@ def oracle_sql() -> dict[str, str]:
         "w7_review_sample": f"WITH d AS (SELECT DISTINCT example_id, reason FROM rejects WHERE example_id IS NOT NULL AND reason IS NOT NULL), q AS (SELECT DISTINCT reason, 5 AS quota FROM d) SELECT reason, example_id FROM {_draw('d', 'reason', 's.example_id', 'q')}",
         "w8_balance": f"WITH {BALANCE_QUOTA}, q AS {_remainder('oc', 'source_config', '(SELECT count(*) FROM hate)')} SELECT example_id, label, source_config FROM hate UNION ALL SELECT example_id, label, source_config FROM {_draw('other', 'source_config', 's.example_id', 'q')}",
         "w8_balance_match_minority": match,
+        "o4_first_rows": "SELECT id, tier, text FROM canary_items ORDER BY id LIMIT 13",
+        "o5_ranked_shares": f"WITH {RELEASE}, c AS (SELECT label, source_config, count(*) AS n FROM rel WHERE source_config IS NOT NULL AND label IS NOT NULL GROUP BY ALL), s AS (SELECT *, n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY label) AS p FROM c) SELECT label, source_config, n, {_r('p')} AS pct, row_number() OVER (PARTITION BY label ORDER BY n DESC, source_config) = 1 AS top, p >= 95 AS alarm, row_number() OVER (PARTITION BY label ORDER BY n DESC, source_config)::INT AS place FROM s",
+        "w9_sample": "SELECT doc_id FROM documents ORDER BY sha256('42::' || doc_id), doc_id LIMIT 250",
+        "m4_token_lengths": "SELECT example_id, length(text_eng)::INT AS n_tokens FROM pairs WHERE text_eng IS NOT NULL",
+        "m5_tiers": f"""WITH {SUITE}, o AS (SELECT coalesce(avg(score) FILTER (tier = 'clear_hate') - avg(score) FILTER (tier = 'clear_benign') > 0.5 AND min(score) FILTER (tier = 'clear_hate') > max(score) FILTER (tier = 'clear_benign'), false) AS ok FROM items),
+            p AS (SELECT coalesce(bool_and(passed), false) AS ok FROM (SELECT CASE tier WHEN 'clear_hate' THEN min(score) >= 0.7::DOUBLE WHEN 'clear_benign' THEN max(score) <= 0.3::DOUBLE WHEN 'hard_negative' THEN max(score) <= 0.2::DOUBLE END AS passed FROM items WHERE NOT coalesce(documented_failure, false) GROUP BY tier))
+            SELECT 0 AS step, 'probe' AS name, true AS passed, true AS reached UNION ALL SELECT 1, 'orientation', ok, true FROM o UNION ALL SELECT 2, 'pinned', CASE WHEN o.ok THEN p.ok END, o.ok FROM o, p""",
         "o2_largest_groups": f"WITH {GROUPED}, t AS (SELECT g, count(*) AS cluster_size FROM grouped GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 10), i AS (SELECT DISTINCT g, cluster_size, example_id FROM t JOIN grouped USING (g)) SELECT g, cluster_size, array_to_string(list_sort(list(example_id))[1:3], ',') AS ids FROM i GROUP BY ALL",
         "o3_confident_errors": f"WITH {PREDICTED} SELECT example_id, CASE WHEN pred = 1 THEN 'FP' ELSE 'FN' END AS kind, substr(text_eng, 1, 400) AS excerpt FROM predictions WHERE NOT correct ORDER BY greatest(prob_hate, 1 - prob_hate) DESC, example_id LIMIT 25",
         "d1_exact_survivors": f"WITH {RECORDS} SELECT min(example_id) AS example_id FROM records WHERE text_eng IS NOT NULL GROUP BY {_norm('text_eng')}",

@@ -489,6 +489,11 @@ def w7_review_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.sample_per_group(rows, 5, "reason", "example_id", 42)
 
 
+@query
+def w9_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling.simple_sample(table(spark, folder, "documents").select("doc_id"), 250, "doc_id", 42)
+
+
 @query
 def w8_balance(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.balance(release_records(spark, folder, "label", "source_config"), "label", "source_config", "example_id", "proportional").select("example_id", "label", "source_config")
@@ -503,6 +508,18 @@ def w8_balance_match_minority(spark: SparkSession, folder: str) -> DataFrame:
 # Order and limits
 
 
+@query
+def o4_first_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Some rows to look at: the first of a table by its key."""
+    return table(spark, folder, "canary_items").select("id", "tier", "text").orderBy("id").limit(13)
+
+
+@query
+def o5_ranked_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Each label's sources, the largest share first."""
+    return rounded(association.ranked(association.label_shares(release_records(spark, folder, "label", "source_config"), "source_config", "label"), "pct", "source_config", "label"))
+
+
 @query
 def o2_largest_groups(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.largest(_grouped(spark, folder), "g", "example_id").withColumn("ids", F.array_join("ids", ","))
@@ -530,7 +547,7 @@ def d3_similar_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d4_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.near_duplicates(pair_records(spark, folder, "text_ory"), "example_id", "text_ory")[2]
+    return dedup.near_duplicates(pair_records(spark, folder, "text_ory"), "example_id", "text_ory", pairs=False)[2]
 
 
 @query
@@ -565,7 +582,7 @@ def d7_english_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def d8_survivors(spark: SparkSession, folder: str) -> DataFrame:
     rows = release_records(spark, folder, "label", "source_config", "text_ory").where("label is not null")
-    groups, _, roots = dedup.near_duplicates(rows, "example_id", "text_ory")
+    groups, _, roots = dedup.near_duplicates(rows, "example_id", "text_ory", pairs=False)
     return sampling.representatives(dedup.map_back(rows, "example_id", "text_ory", groups, roots), "dedup_group", "label", "source_config", "example_id")
 
 
@@ -583,6 +600,20 @@ def m2_scored_texts(spark: SparkSession, folder: str) -> DataFrame:
     return p.select("example_id", F.round(scoring.score_with(scorer)(F.col("text_eng")).cast("double"), 5).alias("score"))
 
 
+@query
+def m4_token_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """Lengths by a tokeniser of single characters, through the Arrow path."""
+    p = table(spark, folder, "pairs").where("text_eng is not null")
+    return p.select("example_id", scoring.token_lengths(lambda: list)(F.col("text_eng")).alias("n_tokens"))
+
+
+@query
+def m5_tiers(spark: SparkSession, folder: str) -> DataFrame:
+    """The tiers in their order, each only if those before it passed."""
+    bounds = {"clear_hate": ("min", 0.7), "clear_benign": ("max", 0.3), "hard_negative": ("max", 0.2)}
+    return suites.tiers(_suite(spark, folder), "tier", "score", "documented_failure", bounds)
+
+
 @query
 def m6_surface_baseline(spark: SparkSession, folder: str) -> DataFrame:
     rows = frames.with_split(release_records(spark, folder, "label", "text_ory").where("label is not null and text_ory is not null"))

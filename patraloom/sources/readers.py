@@ -80,6 +80,19 @@ def missing_sources(found: Iterable[str], wanted: Iterable[str]) -> tuple[list[s
     return sorted(w - f), sorted(f - w)
 
 
+def source_path(template: str, repository: str, revision: str, name: str) -> str:
+    """The path of a source's table, pinned to a revision: ``template`` names
+    ``{repository}``, ``{revision}`` and ``{name}``."""
+    if not revision:
+        raise ValueError("a source needs a revision")
+    return template.format(repository=repository, revision=revision, name=name)
+
+
+def read_suite(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """A labelled suite, with only the columns asked for, under the names given (``{there: here}``)."""
+    return read_any(spark, path).select(*(F.col(f"`{a}`").alias(b) for a, b in columns.items()))
+
+
 def list_tables(spark: SparkSession, root: str) -> list[str]:
     """The names of the Parquet tables (files or folders) in a folder of any file system."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)

@@ -45,6 +45,14 @@ def write_annotation(df: DataFrame, path: str, columns: Sequence[str], key: str
     out.coalesce(1).write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)  # a sample a person reads
 
 
+def write_predictions(df: DataFrame, folder: str, figures: object) -> None:
+    """Predictions as Parquet and as CSV, and their metrics as JSON. The JSON is
+    the driver's, so a folder of its own file system is meant."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/predictions.parquet")
+    df.write.mode("overwrite").option("header", True).csv(f"{folder}/predictions.csv")
+    write_json(figures, f"{folder}/metrics.json")
+
+
 def write_json(value: object, path: str) -> None:
     """A small document; numbers of any library and paths are written plainly."""
     plain = lambda x: x.asDict(recursive=True) if hasattr(x, "asDict") else x.item() if hasattr(x, "item") else x.tolist() if hasattr(x, "tolist") else str(x)

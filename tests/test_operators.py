@@ -135,6 +135,45 @@ def test_guards(spark):
     audit.check_splits(rows.where("t = 'y'"), "t", "part")
 
 
+def test_tiers_stop(spark):
+    rows = [("a", "clear_hate", 0.95, None), ("b", "clear_hate", 0.99, None), ("c", "clear_benign", 0.02, None), ("d", "hard_negative", 0.5, None), ("e", "hard_negative", 0.1, True)]
+    df = spark.createDataFrame(rows, "id string, tier string, score double, known boolean")
+    bounds = {"clear_hate": ("min", 0.9), "hard_negative": ("max", 0.2)}
+    got = lambda d: [(r.name, r.passed, r.reached) for r in suites.tiers(d, "tier", "score", "known", bounds).orderBy("step").collect()]
+    assert got(df) == [("probe", True, True), ("orientation", True, True), ("pinned", False, True)]
+    assert got(df.withColumn("score", 1 - F.col("score")))[1:] == [("orientation", False, True), ("pinned", None, False)]
+    with pytest.raises(suites.SuiteFailed):
+        suites.require(df, "tier", "score", "known", bounds)
+    suites.require(df.where("id <> 'd'"), "tier", "score", "known", {"clear_hate": ("min", 0.9)})
+
+
+def test_metadata_and_environment(spark):
+    p = spark.createDataFrame([("1", 0), ("2", 1)], "example_id string, pred int")
+    m = spark.createDataFrame([("2", "s", "x"), ("2", "s", "x")], "example_id string, source string, more string")
+    assert {tuple(r) for r in audit.with_metadata(p, m, ["source"]).collect()} == {("1", 0, None), ("2", 1, "s")}
+    assert {"spark", "python", "spark.sql.shuffle.partitions"} <= set(scoring.environment(spark))
+    n = spark.createDataFrame([("a b",), (None,), ("",)], "t string").select(scoring.token_lengths(lambda: str.split)(F.col("t")).alias("n"))
+    assert sorted(r.n for r in n.dropna().collect()) == [0, 2] and n.where("n is null").count() == 1
+
+
+def test_links_without_pairs(spark):
+    """Clusters by linking pairs equal those by all pairs, also where a bucket holds very many."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [[word() for _ in range(30)] for _ in range(12)]
+    rows = [(f"{i:04d}", " ".join(w if rng.random() > 0.02 * (i % 4) else word() for w in base[i % 12])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t string")
+    groups, edges, roots = dedup.near_duplicates(df, "k", "t")
+    _, some, linked = dedup.near_duplicates(df, "k", "t", pairs=False)
+    assert {tuple(r) for r in roots.collect()} == {tuple(r) for r in linked.collect()}
+    assert some.count() < edges.count()
+    sigs = dedup.minhash(groups, "text_key", "norm").collect()
+    true = {(a.text_key, b.text_key) for a in sigs for b in sigs if a.text_key < b.text_key and sum(x == y for x, y in zip(a.sig, b.sig)) / 128 >= 0.85}
+    assert {(r.a, r.b) for r in edges.collect()} == true
+    parts = dedup.candidate_pairs(dedup.minhash(groups, "text_key", "norm"), "text_key", part=5)
+    assert {(r.a, r.b) for r in parts.collect()} == true
+
+
 def test_label_columns_are_tried_in_order(spark):
     df = spark.createDataFrame([("x", 1, 0, 1)], "text string, hate int, class int, Final_Label int")
     assert native.label_column(df) == "class" and native.label_column(df.drop("class")) == "hate"

@@ -62,6 +62,16 @@ def test_documents(tmp_path):
     assert readers.missing_sources(["a", "b"], ["b", "c"]) == (["c"], ["a"])
 
 
+def test_predictions_suites_and_paths(spark, tmp_path):
+    df = spark.createDataFrame([("t", 1, 0)], "text string, gold int, pred int")
+    sinks.write_predictions(df, str(tmp_path), {"n": 1})
+    assert spark.read.parquet(str(tmp_path / "predictions.parquet")).collect() == df.collect() and json.loads((tmp_path / "metrics.json").read_text()) == {"n": 1}
+    assert readers.read_suite(spark, str(tmp_path / "predictions.parquet"), {"text": "case", "gold": "label"}).columns == ["case", "label"]
+    assert readers.source_path("/d/{repository}/{revision}/{name}.parquet", "r", "v1", "a") == "/d/r/v1/a.parquet"
+    with pytest.raises(ValueError):
+        readers.source_path("{name}", "r", "", "a")
+
+
 def test_streams(spark, data, tmp_path):
     static = spark.read.parquet(f"{data}/score_shards.parquet")
     static.repartition(3).write.parquet(str(tmp_path / "in"))
