@@ -22,6 +22,8 @@ from patraloom.session import cut
 
 #: Signature slots, characters of a run, and the least share of equal slots.
 SLOTS, RUN, SIMILAR = 128, 5, 0.85
+#: Keys of a bucket that one task takes whole.
+PART = 2048
 #: Thresholds a sweep tries.
 SWEEP = (0.95, 0.90, 0.85, 0.80, 0.70, 0.60, 0.50)
 
@@ -83,51 +85,96 @@ def _sketch(sig: np.ndarray) -> np.ndarray:
     return np.concatenate(planes, axis=1).T
 
 
-def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS, star: bool = False, roots: DataFrame | None = None, part: int = 2048) -> DataFrame:
+class _Buckets:
+    """The buckets of bands in which signatures of a least similarity meet (see
+    :func:`bands_for`). Two bits a slot go along with the bands, so that pairs
+    with too few slots of equal bits, which can't have enough equal ones, are
+    dropped as they meet."""
+
+    def __init__(self, sigs: DataFrame, key: str, threshold: float, slots: int, part: int):
+        self.sigs, self.threshold, self.slots = sigs.select(F.col(key).alias("k"), "sig"), threshold, slots
+        b, _ = bands_for(threshold, slots)
+        parts = [np.arange(i, slots, b) for i in range(b)]
+        kind = sigs.schema[key].dataType.simpleString()
+        self.words = [f"w{i}" for i in range(2 * -(-slots // 64))]
+        half = len(self.words) // 2
+        off = " + ".join(f"bit_count((a{x} ^ b{x}) | (a{y} ^ b{y}))" for x, y in zip(self.words[:half], self.words[half:], strict=True))
+        self.near = f"a < b and {off} <= {slots - least_equal(threshold, slots)}"
+        words = self.words
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                sig = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.uint64)
+                sketch = _sketch(sig)
+                keys = np.empty((b, batch.num_rows), np.uint64)
+                for band, rows in enumerate(parts):
+                    h = np.full(batch.num_rows, band + 1, np.uint64)
+                    for i in rows:
+                        h = mixed(h * np.uint64(0x100000001B3) ^ sig[:, i])
+                    keys[band] = h
+                which = pa.array(np.tile(np.arange(batch.num_rows), b))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(which), pa.array(keys.ravel().view(np.int64)), *(pa.array(np.tile(w, b)) for w in sketch)], ["k", "band", *words])
+
+        self.banded = self.sigs.mapInArrow(run, f"k {kind}, band bigint, " + ", ".join(f"{w} bigint" for w in words))
+        # Buckets of one are dropped by a count that is combined before the shuffle.
+        count = F.expr(f"cast(ceil(count(1) / {part}) as int)")
+        self.shared = cut(self.banded.groupBy("band").agg(F.min("k").alias("first"), F.max("k").alias("last"), count.alias("parts")).where("first <> last").drop("last"))
+        self.any_large = not self.shared.where("parts > 1").isEmpty()
+
+    def _met(self, left: DataFrame, right: DataFrame, on: list[str], where: str) -> DataFrame:
+        a, b = (side.select(*on, F.col("root").alias(f"{n}root"), F.col("k").alias(n), *(F.col(w).alias(n + w) for w in self.words)) for n, side in (("a", left), ("b", right)))
+        return a.join(b, on).where(where).select("a", "b")
+
+    def small(self) -> DataFrame:
+        """The pairs of the buckets that one task takes whole."""
+        held = self.banded.join(self.shared.where("parts = 1"), "band").withColumn("root", F.lit(None).cast("string"))
+        return self._met(held, held, ["band"], self.near)
+
+    def stars(self) -> DataFrame:
+        """Of the others, the pairs with the smallest key."""
+        held = self.banded.join(self.shared.where("parts > 1"), "band").withColumn("root", F.lit(None).cast("string"))
+        return self._met(held.where("k = first"), held, ["band"], self.near)
+
+    def large(self, roots: DataFrame | None = None) -> DataFrame:
+        """Of the others, all pairs, part by part; with ``roots`` (``node``,
+        ``root``) those of different roots, of buckets that have several."""
+        held = self.banded.join(self.shared.where("parts > 1"), "band")
+        if roots is None:
+            held, where = held.withColumn("root", F.lit(None).cast("string")), self.near
+        else:
+            held, where = held.join(roots.select(F.col("node").alias("k"), "root"), "k", "left").withColumn("root", F.coalesce("root", "k")), f"aroot <> broot and {self.near}"
+            held = held.join(held.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band"), "band", "left_semi")
+        copies = held.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+        return self._met(copies, held.withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int")), ["band", "part"], where)
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        sa, sb = self.sigs.toDF("a", "sa"), self.sigs.toDF("b", "sb")
+        equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        joined = pairs.distinct().join(sa, "a").join(sb, "b").withColumn("similarity", equal / F.lit(float(self.slots)))
+        return joined.where(F.col("similarity") >= self.threshold).select("a", "b", "similarity")
+
+
+def candidate_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS, part: int = PART) -> DataFrame:
     """``a < b``, ``similarity``: the pairs whose signatures agree in at least
-    ``threshold`` of the slots. With ``star`` only those with the smallest key of
-    a bucket, with ``roots`` (``node``, ``root``) only those of different roots.
-    The keys of a large bucket meet in parts of about ``part``.
-
-    They are looked for where a band is equal (see :func:`bands_for`). Two bits a
-    slot go along with the bands, so that pairs with too few slots of equal bits,
-    which can't have enough equal ones, are dropped as they meet."""
-    b, _ = bands_for(threshold, slots)
-    parts = [np.arange(i, slots, b) for i in range(b)]
-    kind = sigs.schema[key].dataType.simpleString()
-    words = [f"w{i}" for i in range(2 * -(-slots // 64))]
+    ``threshold`` of the slots. They are looked for where a band is equal; the
+    keys of a large bucket meet in parts of about ``part``."""
+    buckets = _Buckets(sigs, key, threshold, slots, part)
+    return buckets.verified(buckets.small().unionByName(buckets.large()) if buckets.any_large else buckets.small())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.uint64)
-            sketch = _sketch(sig)
-            keys = np.empty((b, batch.num_rows), np.uint64)
-            for band, rows in enumerate(parts):
-                h = np.full(batch.num_rows, band + 1, np.uint64)
-                for i in rows:
-                    h = mixed(h * np.uint64(0x100000001B3) ^ sig[:, i])
-                keys[band] = h
-            which = pa.array(np.tile(np.arange(batch.num_rows), b))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), pa.array(keys.ravel().view(np.int64)), *(pa.array(np.tile(w, b)) for w in sketch)], ["k", "band", *words])
-
-    banded = sigs.mapInArrow(run, f"k {kind}, band bigint, " + ", ".join(f"{w} bigint" for w in words))
-    banded = banded.withColumn("root", F.col("k")) if roots is None else banded.join(roots.select(F.col("node").alias("k"), "root"), "k", "left").withColumn("root", F.coalesce("root", "k"))
-    # Buckets of one (or of one root) are dropped by a count that is combined before the shuffle.
-    parts = F.lit(1) if star else F.expr(f"cast(ceil(count(1) / {part}) as int)")
-    shared = banded.groupBy("band").agg(F.min("k").alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts")).where("lo <> hi").select("band", "first", "parts")
-    held = banded.join(shared, "band")
-    left = held.where("k = first").withColumn("part", F.lit(0)) if star else held.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-    right = held.withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int"))
-    a, b_ = (side.select("band", "part", F.col("root").alias(f"{n}root"), F.col("k").alias(n), *(F.col(w).alias(n + w) for w in words)) for n, side in (("a", left), ("b", right)))
-    half = len(words) // 2
-    off = " + ".join(f"bit_count((a{x} ^ b{x}) | (a{y} ^ b{y}))" for x, y in zip(words[:half], words[half:], strict=True))
-    near = F.expr(f"a < b and aroot <> broot and {off} <= {slots - least_equal(threshold, slots)}")
-    pairs = a.join(b_, (a["band"] == b_["band"]) & (a["part"] == b_["part"]) & near).select("a", "b").distinct()
-    sa, sb = sigs.toDF("a", "sa"), sigs.toDF("b", "sb")
-    equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return pairs.join(sa, "a").join(sb, "b").withColumn("similarity", equal / F.lit(float(slots))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
+
+def linking_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS, part: int = PART) -> DataFrame:
+    """Pairs (``a``, ``b``) that connect the same texts as all those of
+    :func:`candidate_pairs` do. Of a bucket above ``part`` they aren't all listed:
+    first its texts with its smallest key, then, if that leaves it in several
+    components, those of different ones."""
+    buckets = _Buckets(sigs, key, threshold, slots, part)
+    if not buckets.any_large:
+        return cut(buckets.verified(buckets.small()).select("a", "b"))
+    first = cut(buckets.verified(buckets.small().unionByName(buckets.stars())).select("a", "b"))
+    more = buckets.verified(buckets.large(cut(components(first))))
+    return cut(first.unionByName(more.select("a", "b")))
 
 
 def clusters(keys: DataFrame, key: str, edges: DataFrame) -> DataFrame:
@@ -136,16 +183,6 @@ def clusters(keys: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     return keys.select(key).join(roots, key, "left").withColumn("root", F.coalesce("root", F.col(key)))
 
 
-def linking_pairs(sigs: DataFrame, key: str, threshold: float = SIMILAR, slots: int = SLOTS) -> DataFrame:
-    """Pairs (``a``, ``b``) that connect the same texts as all those of
-    :func:`candidate_pairs` do, without listing these: first each bucket's texts
-    with its smallest key, then, in buckets that this leaves in several
-    components, those of different ones."""
-    first = cut(candidate_pairs(sigs, key, threshold, slots, star=True).select("a", "b"))
-    more = candidate_pairs(sigs, key, threshold, slots, roots=cut(components(first)))
-    return cut(first.unionByName(more.select("a", "b")))
-
-
 def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = SIMILAR, slots: int = SLOTS, k: int = RUN, pairs: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups, edges, clusters): :func:`exact_groups`, :func:`candidate_pairs`
     of their texts (:func:`linking_pairs` without ``pairs``), and the cluster of

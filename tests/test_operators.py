@@ -164,9 +164,11 @@ def test_links_without_pairs(spark):
     rows = [(f"{i:04d}", " ".join(w if rng.random() > 0.02 * (i % 4) else word() for w in base[i % 12])) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, t string")
     groups, edges, roots = dedup.near_duplicates(df, "k", "t")
-    _, some, linked = dedup.near_duplicates(df, "k", "t", pairs=False)
-    assert {tuple(r) for r in roots.collect()} == {tuple(r) for r in linked.collect()}
-    assert some.count() < edges.count()
+    for part in (2048, 5):
+        some = dedup.linking_pairs(dedup.minhash(groups, "text_key", "norm"), "text_key", part=part)
+        linked = dedup.clusters(groups, "text_key", some)
+        assert {tuple(r) for r in roots.collect()} == {tuple(r) for r in linked.collect()}
+        assert some.count() == edges.count() if part > 400 else some.count() < edges.count()
     sigs = dedup.minhash(groups, "text_key", "norm").collect()
     true = {(a.text_key, b.text_key) for a in sigs for b in sigs if a.text_key < b.text_key and sum(x == y for x, y in zip(a.sig, b.sig)) / 128 >= 0.85}
     assert {(r.a, r.b) for r in edges.collect()} == true
