@@ -395,7 +395,7 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
     that pivots don't part, those are compared that no pivot keeps apart. Texts
     of equal ``root`` are connected beforehand; unless ``every`` link is wanted,
     only those that connect something are found. Overlaps are counted on hashes
-    of runs; each link is then checked on the runs themselves.
+    of runs; where equal hashes of different runs might decide, on the runs.
     """
     reach = 1 - least
     hashes, size = _sorted_runs(texts, k)
@@ -411,9 +411,9 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
 
     links: set[tuple[int, int]] = set()
 
-    def link(i: int, j: int) -> None:
+    def link(i: int, j: int, sure: bool) -> None:
         a, b = find(root[i]), find(root[j])
-        if node[i] != node[j] and (every or a != b) and jaccard(texts[i], texts[j], k) >= least:
+        if node[i] != node[j] and (every or a != b) and (sure or jaccard(texts[i], texts[j], k) >= least):
             parent[a] = b
             links.add((min(node[i], node[j]), max(node[i], node[j])))
 
@@ -433,8 +433,8 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
             near = (d <= reach + slack[own]) & (np.arange(len(own)) > x)
             if far is not None and near.any():
                 near &= (np.abs(far - far[x]) <= reach + slack[own, None]).all(1)
-            for j in own[near]:
-                link(own[x], j)
+            for y in np.flatnonzero(near):
+                link(own[x], own[y], d[y] <= reach - slack[own[y]])
 
     todo = [np.arange(len(node))]
     while todo:
@@ -447,7 +447,7 @@ def join_region(node: Sequence[int], texts: Sequence[str], root: Sequence[int],
         chosen = np.array(sorted(own, key=lambda i: xxhash.xxh3_64_intdigest(struct.pack("<qq", node[i], len(own))))[:pivots])
         far = np.stack(list(distances(own, chosen)), 1)
         for x, q in zip(*np.nonzero(far <= reach + slack[own, None]), strict=True):
-            link(own[x], chosen[q])
+            link(own[x], chosen[q], far[x, q] <= reach - slack[own[x]])
         inside = far <= far.min(1, keepdims=True) + 2 * reach + slack[own, None]
         # Cells that hold more pairs than the region itself don't part it.
         if (inside.sum(0).astype(float) ** 2).sum() >= len(own) ** 2:
