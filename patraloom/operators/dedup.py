@@ -224,11 +224,13 @@ def spanning(df: DataFrame, group: str, label: str, source: str) -> DataFrame:
 
 def sweep(sigs: DataFrame, key: str, thresholds: tuple[float, ...] = SWEEP, slots: int = SLOTS) -> DataFrame:
     """Per threshold: pairs, and how many texts clustering would remove. The
-    signatures are those given; only bands and threshold change."""
+    pairs of the lowest threshold are found once; those of a higher one are the
+    more similar among them."""
     n = sigs.count()
+    pairs = cut(candidate_pairs(sigs, key, min(thresholds), slots))
     out = None
     for t in thresholds:
-        edges = cut(candidate_pairs(sigs, key, t, slots))
+        edges = pairs.where(F.col("similarity") >= t)
         roots = components(edges)
         gone = roots.agg((F.count(F.lit(1)) - F.count_distinct("root")).alias("removed")).crossJoin(edges.agg(F.count(F.lit(1)).alias("pairs")))
         one = gone.select(F.lit(t).alias("threshold"), "pairs", "removed", F.try_divide(F.col("removed") * 100.0, F.lit(float(n))).alias("reduction_pct"))

@@ -172,6 +172,11 @@ def test_links_without_pairs(spark):
     sigs = dedup.minhash(groups, "text_key", "norm").collect()
     true = {(a.text_key, b.text_key) for a in sigs for b in sigs if a.text_key < b.text_key and sum(x == y for x, y in zip(a.sig, b.sig)) / 128 >= 0.85}
     assert {(r.a, r.b) for r in edges.collect()} == true
+    swept = {r.threshold: (r.pairs, r.removed) for r in dedup.sweep(dedup.minhash(groups, "text_key", "norm"), "text_key").collect()}
+    for t in dedup.SWEEP:
+        some = dedup.candidate_pairs(dedup.minhash(groups, "text_key", "norm"), "text_key", t)
+        gone = graph.components(some)
+        assert swept[t] == (some.count(), gone.count() - gone.select("root").distinct().count())
     parts = dedup.candidate_pairs(dedup.minhash(groups, "text_key", "norm"), "text_key", part=5)
     assert {(r.a, r.b) for r in parts.collect()} == true
 
