@@ -1,9 +1,11 @@
 from fractions import Fraction
+from itertools import combinations
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from patraloom.llm import flow
 from patraloom.llm.mixing import actual, memberships, mix, plan_mix, route
 
 T = "plan string, source string, target_share double, max_repeats int, size_ratio double"
@@ -84,3 +86,56 @@ def test_bad_and_empty(spark):
     chosen, report = mix(d.limit(0), spark.createDataFrame([("p", "big", 0.5, 1, 0.1)], T))
     assert chosen.collect() == [] and [x.short for x in report.collect()] == [False]
     assert mix(d, spark.createDataFrame([], T))[1].collect() == []
+
+
+def overlapping(spark):
+    """Each text of 12 tokens stands in one to three of four sources: enough for all without a repetition."""
+    rows = [(10 * i + j, s, list(p), len(p), 12) for i in range(240) for p in [("a", "b", "c", "d", "ab", "bc", "abc", "ad", "cd", "bcd")[i % 10]] for j, s in enumerate(p)]
+    return spark.createDataFrame(rows, "doc_id long, source string, sources array<string>, copies long, n_tokens long")
+
+
+def test_many_patterns_repeat_no_more_than_few(spark, monkeypatch):
+    """Patterns that the driver doesn't route are still told apart."""
+    d = overlapping(spark)
+    total = 12 * d.count()
+    t = spark.createDataFrame([("p", s, tokens / total, 2, 1.0) for s, tokens in (("a", 720), ("b", 840), ("c", 720), ("d", 600))] + [("q", "b", 0.4, 3, 1.0), ("q", "c", 0.1, 1, 1.0)], T)
+    monkeypatch.setattr(flow, "TASK", 4)
+    monkeypatch.setattr(flow, "BLOCK", 6)
+
+    def used(intervals):
+        found = {}
+        for r in intervals.collect():
+            found[r.plan, tuple(r.pattern)] = found.get((r.plan, tuple(r.pattern)), 0) + r.upto
+        return {p: [sum(min(x, 288 * level) for (q, _), x in found.items() if q == p) for level in (1, 2, 3)] for p in "pq"}
+
+    few, many = plan_mix(d, t), plan_mix(d, t, most=0)
+    assert sorted(map(tuple, few[0].collect())) == sorted(map(tuple, many[0].collect()))
+    assert used(few[1]) == used(many[1])
+    # All 240 texts are needed once, so none is used twice.
+    assert used(many[1])["p"] == [2880, 2880, 2880]
+
+
+def test_pairs_in_parts(monkeypatch):
+    own = {(p, s): 10 + 3 * i for i, p in enumerate([("a", "b"), ("b", "c"), ("a", "b", "c"), ("c",)]) for s in p}
+    call = own, {p: 10 + 3 * i for i, p in enumerate([("a", "b"), ("b", "c"), ("a", "b", "c"), ("c",)])}, dict.fromkeys("abc", Fraction(25)), dict.fromkeys("abc", 2)
+    whole = route(*call)
+    monkeypatch.setattr(flow, "PAIRS", 1)
+    assert route(*call) == whole
+
+
+def test_route_with_thousands_of_patterns():
+    """20 sources and 4 845 patterns of four: every text is needed once."""
+    patterns = list(combinations([f"s{i:02}" for i in range(20)], 4))
+    own = {(p, s): 20 for p in patterns for s in p}
+    quotas = dict.fromkeys({s for p in patterns for s in p}, Fraction(len(patterns)))
+    flow = route(own, dict.fromkeys(patterns, 20), quotas, dict.fromkeys(quotas, 3))
+    assert sum(flow.values()) == 20 * len(patterns) and all(sum(flow[p, s] for s in p) == 20 for p in patterns)
+
+
+def test_tokens_of_rare_patterns_are_not_rounded_by_source(spark):
+    """A text of 12 tokens in five sources has 12, not five times the 2 of 2.4: one source can take all of them once."""
+    d = spark.createDataFrame([(i, s, list("abcde"), 5, 12) for i, s in enumerate("abcde")] + [(9, "a", ["a"], 1, 12)], "doc_id long, source string, sources array<string>, copies long, n_tokens long")
+    t = spark.createDataFrame([("p", s, 1 / 6, 1, 1.0) for s in "ab"], T)
+    for most in (100, 0):
+        got = {(r.source, len(r.pattern)): r.upto for r in plan_mix(d, t, most)[1].collect()}
+        assert got == {("a", 1): 12, ("b", 5): 12}
